@@ -67,5 +67,9 @@ def zones(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def detail(events: DataFrame) -> DataFrame:
-    """The detail layer in one go: clean, distinct trips."""
-    return clean_detail(raw_trips(events)).dropDuplicates()
+    """The detail layer in one go: distinct clean trips.
+
+    Rows are made distinct before columns are derived, so the shuffle carries
+    the raw columns only; the cleaning filters are still pushed below it.
+    """
+    return clean_detail(raw_trips(events).dropDuplicates())
