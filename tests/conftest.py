@@ -12,6 +12,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.sql.debug.maxToStringFields": "200",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
