@@ -79,19 +79,21 @@ def clean_exploratory(raw: DataFrame, cols: TripColumns = TRIP) -> DataFrame:
     )
 
 
-def rejects_by_rule(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Per rule, in one pass: rows failing it, and rows that pass all rules before it and fail it."""
+def rejects_by_rule(df: DataFrame, rule_sets: dict[str, list[Rule]]) -> DataFrame:
+    """Per rule, in one pass over all sets: rows failing it, and rows it is the first of its set to reject."""
     entries = []
-    passed_before = F.lit(True)
-    for position, rule in enumerate(rules, start=1):
-        keep = F.coalesce(rule.keep, F.lit(False))
-        entries.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(rule.name).alias("rule"),
-                F.count_if(~keep).alias("failing"),
-                F.count_if(passed_before & ~keep).alias("first_failing"),
+    for name, rules in rule_sets.items():
+        passed_before = F.lit(True)
+        for position, rule in enumerate(rules, start=1):
+            keep = F.coalesce(rule.keep, F.lit(False))
+            entries.append(
+                F.struct(
+                    F.lit(name).alias("rule_set"),
+                    F.lit(position).alias("position"),
+                    F.lit(rule.name).alias("rule"),
+                    F.count_if(~keep).alias("failing"),
+                    F.count_if(passed_before & ~keep).alias("first_failing"),
+                )
             )
-        )
-        passed_before = passed_before & keep
+            passed_before = passed_before & keep
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))

@@ -13,7 +13,7 @@ from curbline.functions.dates import month_text
 from curbline.functions.exprs import beyond_cents, cents, from_cents, nan_to_null, round2
 from curbline.operators import checks, clean, enrich, metrics, profile, rank
 from curbline.plans import event_trips, incremental, warehouse
-from curbline.session import scratch_path
+from curbline.session import fit_shuffles, scratch_path
 from curbline.sinks import parquet, publish
 from curbline.sources import files
 from curbline.streaming.detail import start_detail_stream
@@ -43,7 +43,9 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    fit_shuffles(spark, int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes())))
+    return df
 
 
 def raw(spark, sf_dir) -> DataFrame:
@@ -62,6 +64,13 @@ def zone_table(spark, sf_dir) -> DataFrame:
     return enrich.location_zone(metrics.location_metrics(detail(spark, sf_dir)), zones(spark, sf_dir))
 
 
+def staged_raw(spark, sf_dir) -> DataFrame:
+    """The raw trips as a written table, for queries that go over them more than once."""
+    path = scratch_path(spark, "raw")
+    parquet.overwrite(raw(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def middle_day(df: DataFrame, column: str) -> dt.date:
     """The day half way between the first and the last."""
     first, last = df.agg(F.min(F.to_date(column)), F.max(F.to_date(column))).first()
@@ -70,7 +79,7 @@ def middle_day(df: DataFrame, column: str) -> dt.date:
 
 def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame, dt.date]:
     """All raw trips in two parts that share twelve hours of the middle day."""
-    trips = raw(spark, sf_dir)
+    trips = staged_raw(spark, sf_dir)
     day = middle_day(table(spark, sf_dir, "events"), "ts")
     midnight = dt.datetime.combine(day, dt.time())
     first = trips.where(F.col(C.TRIP.pickup) < F.lit(midnight + dt.timedelta(hours=18)))
@@ -93,7 +102,7 @@ def write_zone_csv(spark, sf_dir, path: str) -> None:
 
 def built_warehouse(spark, sf_dir) -> tuple[str, DataFrame]:
     root = scratch_path(spark, "warehouse")
-    write_raw_months(raw(spark, sf_dir), f"{root}/raw")
+    write_raw_months(staged_raw(spark, sf_dir), f"{root}/raw")
     write_zone_csv(spark, sf_dir, f"{root}/zones.csv")
     _, audit = warehouse.run_warehouse(spark, f"{root}/raw", root, f"{root}/zones.csv")
     return root, audit
@@ -113,7 +122,7 @@ def scan_raw(spark, sf_dir):
 @query
 def discover_months(spark, sf_dir):
     root = scratch_path(spark, "raw")
-    write_raw_months(raw(spark, sf_dir), root)
+    write_raw_months(staged_raw(spark, sf_dir), root)
     table(spark, sf_dir, "nation").write.parquet(f"{root}/zones_2024-01.parquet")
     months = files.discover_months(spark, root)
     return months.select("year_month", F.element_at(F.split("month_path", "/"), -1).alias("file_name"))
@@ -171,10 +180,8 @@ def clean_exploratory(spark, sf_dir):
 
 @query
 def rejects_by_rule(spark, sf_dir):
-    trips = raw(spark, sf_dir)
-    of_detail = clean.rejects_by_rule(trips, clean.detail_rules()).withColumn("rule_set", F.lit("detail"))
-    of_study = clean.rejects_by_rule(trips, clean.exploratory_rules()).withColumn("rule_set", F.lit("exploratory"))
-    return of_detail.unionByName(of_study)
+    rule_sets = {"detail": clean.detail_rules(), "exploratory": clean.exploratory_rules()}
+    return clean.rejects_by_rule(raw(spark, sf_dir), rule_sets)
 
 
 @query
@@ -392,7 +399,7 @@ def top5_hours(spark, sf_dir):
 
 
 def order_dates(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias(C.DATE_KEY))
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias(C.DATE_KEY)).distinct()
 
 
 def order_months(spark, sf_dir) -> DataFrame:
@@ -417,7 +424,7 @@ def missing_days(spark, sf_dir):
 @query
 def plan_dates(spark, sf_dir):
     first, second, _ = deliveries(spark, sf_dir)
-    return incremental.plan_dates(clean.clean_detail(second), clean.clean_detail(first))
+    return incremental.plan_dates(clean.clean_detail(second), clean.clean_detail(first).select(C.DATE_KEY).distinct())
 
 
 @query
@@ -432,7 +439,7 @@ def merge_boundary(spark, sf_dir):
 @query
 def load_months(spark, sf_dir):
     root = scratch_path(spark, "load")
-    write_raw_months(raw(spark, sf_dir), f"{root}/raw")
+    write_raw_months(staged_raw(spark, sf_dir), f"{root}/raw")
     incremental.load_months(spark, f"{root}/raw", f"{root}/detail")
     return spark.read.parquet(f"{root}/detail")
 
@@ -440,7 +447,7 @@ def load_months(spark, sf_dir):
 @query
 def stream_detail(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    trips = raw(spark, sf_dir)
+    trips = staged_raw(spark, sf_dir)
     write_raw_months(trips, f"{root}/raw")
     stream = start_detail_stream(spark, f"{root}/raw", trips.schema, f"{root}/detail", f"{root}/log")
     stream.awaitTermination()
@@ -454,8 +461,8 @@ def stale_dates(spark, sf_dir):
     incremental.merge_into_detail(spark, clean.clean_detail(first), f"{root}/detail")
     incremental.refresh_daily(spark, f"{root}/detail", f"{root}/daily")
     incremental.merge_into_detail(spark, clean.clean_detail(second), f"{root}/detail")
-    listings = [files.partition_files(spark, f"{root}/{name}") for name in ("detail", "daily")]
-    return incremental.stale_dates(*listings)
+    listings = [files.partition_files(files.list_files(spark, f"{root}/{name}")) for name in ("detail", "daily")]
+    return incremental.stale_dates(*listings).select(C.DATE_KEY, "action")
 
 
 @query
@@ -483,9 +490,10 @@ def overwrite_roundtrip(spark, sf_dir):
 def replace_partitions(spark, sf_dir):
     """The dates from the middle day on are replaced by the stricter rule set."""
     path = scratch_path(spark, "detail")
-    parquet.replace_partitions(clean.clean_detail(raw(spark, sf_dir)), path)
+    trips = staged_raw(spark, sf_dir)
+    parquet.replace_partitions(clean.clean_detail(trips), path)
     day = middle_day(table(spark, sf_dir, "events"), "ts")
-    stricter = clean.clean_exploratory(raw(spark, sf_dir)).where(F.col(C.DATE_KEY) >= F.lit(day))
+    stricter = clean.clean_exploratory(trips).where(F.col(C.DATE_KEY) >= F.lit(day))
     affected = files.list_partitions(spark, path).where(F.col(C.DATE_KEY) >= F.lit(day)).collect()
     parquet.replace_partitions(stricter, path, affected=[row[C.DATE_KEY] for row in affected])
     return spark.read.parquet(path)
@@ -547,13 +555,16 @@ def warehouse_daily(spark, sf_dir):
 
 @query
 def reconcile_counts(spark, sf_dir):
-    trips = detail(spark, sf_dir)
+    """All layers come from one set of partials, as in the warehouse."""
+    partials = metrics.partial_metrics(detail(spark, sf_dir), metrics.PARTIAL_KEYS)
+    locations = metrics.metrics_from_partials(partials, ["PULocationID"], metrics.LOCATION_MEASURES)
     layers = {
-        "daily": metrics.daily_metrics(trips),
-        "hourly": metrics.hourly_metrics(trips),
-        "location": metrics.location_metrics(trips),
+        "daily": metrics.metrics_from_partials(partials, [C.DATE_KEY], metrics.DAILY_MEASURES),
+        "hourly": metrics.metrics_from_partials(partials, ["pickup_hour"], metrics.HOURLY_MEASURES),
+        "location": locations,
     }
-    return checks.reconcile_totals(layers, metrics.overall_metrics(zone_table(spark, sf_dir)), "trip_count", "total_trip_count")
+    overall = metrics.overall_metrics(enrich.location_zone(locations, zones(spark, sf_dir)))
+    return checks.reconcile_totals(layers, overall, "trip_count", "total_trip_count")
 
 
 @query

@@ -13,14 +13,14 @@ from curbline.contracts import DATE_KEY, MONTH_FILE_PATTERN
 from curbline.functions.dates import days_in_month, month_days, month_text
 from curbline.operators.clean import clean_detail
 from curbline.operators.metrics import daily_metrics
+from curbline.session import fit_shuffles
 from curbline.sinks.parquet import drop_partitions, replace_partitions
 from curbline.sources.files import (
     discover_months,
     is_partitioned,
-    list_partitions,
+    list_files,
     partition_files,
-    path_exists,
-    read_partitions,
+    read_folders,
     read_raw,
 )
 
@@ -50,11 +50,15 @@ def plan_months(months: DataFrame, dates: DataFrame, key: str = DATE_KEY) -> Dat
 
 
 def plan_dates(fresh: DataFrame, existing: DataFrame, key: str = DATE_KEY) -> DataFrame:
-    """Each delivered date: ``overlap`` if the table already has it, else ``new``."""
+    """Each delivered date: ``overlap`` if the table already has it, else ``new``.
+
+    ``existing`` has one row per date; its other columns are carried along.
+    """
     delivered = fresh.select(key).distinct()
-    known = existing.select(key).distinct().withColumn("known", F.lit(True))
-    kind = F.when(F.col("known"), "overlap").otherwise("new")
-    return delivered.join(known, key, "left").select(key, kind.alias("kind"))
+    known = existing.withColumn("known", F.lit(True))
+    kind = F.when(F.col("known"), "overlap").otherwise("new").alias("kind")
+    carried = [name for name in existing.columns if name != key]
+    return delivered.join(known, key, "left").select(key, kind, *carried)
 
 
 def merge_rows(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -70,23 +74,26 @@ class LoadResult:
 
 
 def merge_into_detail(
-    spark: SparkSession, cleaned: DataFrame, detail_path: str, schema: T.StructType | None = None
+    spark: SparkSession, cleaned: DataFrame, detail_path: str, listing: DataFrame | None = None
 ) -> LoadResult:
     """Merge cleaned rows into the detail table and replace only the dates they touch.
 
     The plan is one row per calendar day and is all the driver sees. Only the
-    dates present on both sides are read back from the table.
+    dates present on both sides are read back from the table. ``listing`` has
+    the table's files, if the caller has listed them already.
     """
-    plan = plan_dates(cleaned, list_partitions(spark, detail_path)).collect()
-    overlap = sorted(row[DATE_KEY] for row in plan if row["kind"] == "overlap")
-    new = sorted(row[DATE_KEY] for row in plan if row["kind"] == "new")
+    if listing is None:
+        listing = list_files(spark, detail_path)
+    plan = plan_dates(cleaned, partition_files(listing).select(DATE_KEY, "folder")).collect()
+    overlap = {row[DATE_KEY]: row["folder"] for row in plan if row["kind"] == "overlap"}
+    new = [row[DATE_KEY] for row in plan if row["kind"] == "new"]
     if plan:
         if overlap:
-            rows = merge_rows(read_partitions(spark, detail_path, overlap, schema=schema), cleaned)
+            rows = merge_rows(read_folders(spark, detail_path, sorted(overlap.values())), cleaned)
         else:
             rows = cleaned.dropDuplicates()
         replace_partitions(rows, detail_path)
-    return LoadResult(new_dates=new, overlap_dates=overlap)
+    return LoadResult(new_dates=sorted(new), overlap_dates=sorted(overlap))
 
 
 def load_months(
@@ -101,26 +108,32 @@ def load_months(
     Distinct rows of old and new do not depend on the order of the months, so
     the months need not be merged one after the other.
     """
-    months = discover_months(spark, raw_dir, pattern)
-    missing = plan_months(months, list_partitions(spark, detail_path)).collect()
+    listing = list_files(spark, detail_path)
+    missing = plan_months(discover_months(spark, raw_dir, pattern), partition_files(listing)).collect()
     if not missing:
         return LoadResult()
+    fit_shuffles(spark, sum(row["bytes"] for row in missing))
     raw = read_raw(spark, [row["month_path"] for row in missing], schema)
-    result = merge_into_detail(spark, clean_detail(raw), detail_path)
+    result = merge_into_detail(spark, clean_detail(raw), detail_path, listing)
     result.months = [row["year_month"] for row in missing]
     return result
 
 
 def stale_dates(upstream: DataFrame, downstream: DataFrame, key: str = DATE_KEY) -> DataFrame:
-    """Dates to ``add``, ``recompute`` or ``drop`` from two partition listings; up-to-date ones are left out."""
-    up = upstream.select(key, F.col("modified").alias("up_modified"))
+    """Dates to ``add``, ``recompute`` or ``drop`` from two partition listings; up-to-date ones are left out.
+
+    The other columns of the upstream listing are carried along.
+    """
+    up = upstream.withColumnRenamed("modified", "up_modified")
     down = downstream.select(key, F.col("modified").alias("down_modified"))
     action = (
         F.when(F.col("down_modified").isNull(), "add")
         .when(F.col("up_modified").isNull(), "drop")
         .when(F.col("up_modified") > F.col("down_modified"), "recompute")
     )
-    return up.join(down, key, "full").select(key, action.alias("action")).where(F.col("action").isNotNull())
+    carried = [name for name in up.columns if name not in (key, "up_modified")]
+    joined = up.join(down, key, "full").select(key, action.alias("action"), *carried)
+    return joined.where(F.col("action").isNotNull())
 
 
 def refresh_by_date(
@@ -130,17 +143,20 @@ def refresh_by_date(
 
     A downstream table in the old flat layout is rebuilt as a whole.
     """
-    if path_exists(spark, downstream_path) and not is_partitioned(spark, downstream_path):
+    upstream = partition_files(list_files(spark, upstream_path)).select(DATE_KEY, "modified", "folder", "bytes")
+    downstream = list_files(spark, downstream_path)
+    if not is_partitioned(downstream):
         overwrite_by_date(build(spark.read.parquet(upstream_path)), downstream_path)
         return {"rebuilt": [downstream_path]}
-    plan = stale_dates(partition_files(spark, upstream_path), partition_files(spark, downstream_path)).collect()
-    stale = sorted(row[DATE_KEY] for row in plan if row["action"] in ("add", "recompute"))
+    plan = stale_dates(upstream, partition_files(downstream)).collect()
+    stale = {row[DATE_KEY]: row for row in plan if row["action"] != "drop"}
     gone = sorted(row[DATE_KEY] for row in plan if row["action"] == "drop")
     if stale:
-        rows = build(read_partitions(spark, upstream_path, stale))
-        replace_partitions(rows, downstream_path, affected=stale)
+        fit_shuffles(spark, sum(row["bytes"] for row in stale.values()))
+        rows = build(read_folders(spark, upstream_path, sorted(row["folder"] for row in stale.values())))
+        replace_partitions(rows, downstream_path, affected=sorted(stale))
     drop_partitions(spark, downstream_path, gone)
-    return {"refreshed": stale, "dropped": gone}
+    return {"refreshed": sorted(stale), "dropped": gone}
 
 
 def overwrite_by_date(df: DataFrame, path: str) -> None:

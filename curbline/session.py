@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -15,6 +16,8 @@ SETTINGS = {
     # size of one task after a shuffle, and so of one file of a rebalanced write
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
+    # no Python call sites captured for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -53,6 +56,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
+# Bytes of input behind one shuffle partition, and the most partitions asked for.
+SHUFFLE_BYTES = 256 << 20
+MOST_PARTITIONS = 20_000
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the number of shuffle partitions to suit the input; never lower it.
+
+    Adaptive execution joins partitions that turn out small, but cannot split
+    those of an aggregate that turn out large.
+    """
+    wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / SHUFFLE_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Compute a reduced frame once and keep it in the shared folder.
 

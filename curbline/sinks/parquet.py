@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from curbline.contracts import DATE_KEY
 from curbline.operators.enrich import one_row_per_key
 from curbline.session import scratch_path
-from curbline.sources.files import partition_files, path_exists
+from curbline.sources.files import list_files, partition_files, path_exists
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -42,14 +42,14 @@ def replace_partitions(df: DataFrame, path: str, key: str = DATE_KEY, affected:
 
 def _first_files(spark: SparkSession, path: str, key: str, values: list) -> dict:
     """One row per partition; a rewritten partition has no file name in common with the old one."""
-    listing = partition_files(spark, path, key).where(F.col(key).isin(list(values)))
+    listing = partition_files(list_files(spark, path), key).where(F.col(key).isin(list(values)))
     return {row[key]: row["first_file"] for row in listing.select(key, "first_file").collect()}
 
 
 def drop_partitions(spark: SparkSession, path: str, values: list, key: str = DATE_KEY) -> None:
     if not values:
         return
-    listing = partition_files(spark, path, key).where(F.col(key).isin(list(values)))
+    listing = partition_files(list_files(spark, path), key).where(F.col(key).isin(list(values)))
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     for row in listing.select("folder").collect():
         folder = spark._jvm.org.apache.hadoop.fs.Path(row["folder"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +65,27 @@ def discover_months(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE
 
 
 def read_raw(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Raw months as one frame; with a schema, columns a month lacks are NULL."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(*paths)
+    """Raw months as one frame; a column that some months lack is NULL in them.
+
+    With a schema each month is cast to it, as types change from month to month
+    in ways one Parquet scan cannot read; columns it does not name are kept.
+    """
+    if not schema:
+        return spark.read.option("mergeSchema", True).parquet(*paths)
+    months = [conform(spark.read.parquet(path), schema) for path in paths]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), months)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema, cast or NULL, followed by any others."""
+    declared = [
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ]
+    return df.select(*declared, *[name for name in df.columns if name not in schema.names])
 
 
-def partition_files(spark: SparkSession, path: str, key: str = DATE_KEY) -> DataFrame:
-    """Per partition value: its folder, files, bytes, last change and first file name; no data is read."""
-    files = list_files(spark, path)
+def partition_files(files: DataFrame, key: str = DATE_KEY) -> DataFrame:
+    """Per partition value of a file listing: folder, files, bytes, last change and first file name."""
     if key not in files.columns:
         files = files.where(F.lit(False)).withColumn(key, F.lit(None).cast("date"))
     folder = F.regexp_extract("path", rf"^(.*/{key}=[^/]+)/", 1)
@@ -84,21 +99,25 @@ def partition_files(spark: SparkSession, path: str, key: str = DATE_KEY) -> Data
 
 
 def list_partitions(spark: SparkSession, path: str, key: str = DATE_KEY) -> DataFrame:
-    return partition_files(spark, path, key).select(key)
+    return partition_files(list_files(spark, path), key).select(key)
 
 
-def is_partitioned(spark: SparkSession, path: str, key: str = DATE_KEY) -> bool:
-    """False only for a table whose files lie outside ``key=value`` folders."""
-    files = list_files(spark, path)
+def is_partitioned(files: DataFrame, key: str = DATE_KEY) -> bool:
+    """False only for a listing of files that lie outside ``key=value`` folders."""
     return key in files.columns or files.isEmpty()
 
 
-def read_partitions(
-    spark: SparkSession, path: str, values: list, key: str = DATE_KEY, schema: T.StructType | None = None
-) -> DataFrame:
+def read_partitions(spark: SparkSession, path: str, values: list, key: str = DATE_KEY) -> DataFrame:
     """Only the partitions of the given values; the others are pruned before the scan."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).where(F.col(key).isin(list(values)))
+    return spark.read.parquet(path).where(F.col(key).isin(list(values)))
+
+
+def read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """The given partition folders of a table, in the union of their columns.
+
+    Nothing else of the table is listed, which counts when it has many files.
+    """
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
 
 
 def load_dimension(

@@ -66,14 +66,16 @@ def test_minutes_round_as_decimals_do(spark):
 
 def test_rejects_count_each_rule_once_first(spark):
     raw = raw_frame(spark, [trip(), trip(distance=-1.0, pu=None), trip(pickup=None), trip(distance=float("nan"))])
-    rejects = {row["rule"]: (row["failing"], row["first_failing"]) for row in rejects_by_rule(raw, detail_rules()).collect()}
+    both = rejects_by_rule(raw, {"detail": detail_rules(), "study": exploratory_rules()})
+    of_detail = both.where("rule_set = 'detail'").collect()
+    rejects = {row["rule"]: (row["failing"], row["first_failing"]) for row in of_detail}
     assert rejects["distance_positive"] == (1, 1)
     assert rejects["pickup_zone_present"] == (1, 0)
     assert rejects["distance_at_most_100"] == (1, 1)
     assert rejects["dropoff_after_pickup"] == (1, 0)
     rejected = sum(first for _, first in rejects.values())
     assert rejected == raw.count() - clean_detail(raw).count()
-    study = rejects_by_rule(raw, exploratory_rules())
+    study = both.where("rule_set = 'study'")
     assert study.agg(F.sum("first_failing")).first()[0] == raw.count() - clean_exploratory(raw).count()
 
 

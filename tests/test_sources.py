@@ -59,14 +59,14 @@ DAYS = [dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1)]
 def test_partition_listing(spark, folder):
     path = f"{folder}/t"
     assert files.list_partitions(spark, path).count() == 0
-    assert files.is_partitioned(spark, path)
+    assert files.is_partitioned(files.list_files(spark, path))
     replace_partitions(dated(spark, DAYS), path)
     assert rows_of(files.list_partitions(spark, path)) == [(d,) for d in DAYS]
-    assert files.is_partitioned(spark, path)
+    assert files.is_partitioned(files.list_files(spark, path))
     assert dict(files.list_partitions(spark, path).dtypes) == {"trip_date": "date"}
     flat = f"{folder}/flat"
     dated(spark, DAYS).write.parquet(flat)
-    assert not files.is_partitioned(spark, flat)
+    assert not files.is_partitioned(files.list_files(spark, flat))
     assert files.list_partitions(spark, flat).count() == 0
 
 
@@ -79,6 +79,22 @@ def test_read_partitions_prunes(spark, folder):
     assert len(part.inputFiles()) >= 1
 
 
+def test_months_of_other_types_are_cast(spark, folder):
+    spark.sql(
+        "SELECT timestamp_ntz'2022-01-05 10:00:00' AS tpep_pickup_datetime, 2.0D AS passenger_count, 7L AS PULocationID"
+    ).write.parquet(f"{folder}/a")
+    spark.sql("SELECT 3L AS passenger_count, 8 AS PULocationID, 'x' AS extra").write.parquet(f"{folder}/b")
+    raw = files.read_raw(spark, [f"{folder}/a", f"{folder}/b"], RAW_SCHEMA)
+    assert [f.dataType for f in raw.schema.fields][:-1] == [f.dataType for f in RAW_SCHEMA.fields]
+    assert rows_of(raw.select("passenger_count", "PULocationID", "extra")) == [(2, 7, None), (3, 8, "x")]
+
+
+def test_months_without_schema_keep_all_columns(spark, folder):
+    spark.sql("SELECT 1 AS a").write.parquet(f"{folder}/a")
+    spark.sql("SELECT 2 AS a, 'x' AS extra").write.parquet(f"{folder}/b")
+    assert rows_of(files.read_raw(spark, [f"{folder}/a", f"{folder}/b"]).select("a", "extra")) == [(1, None), (2, "x")]
+
+
 def test_load_dimension(spark, tmp_path):
     (tmp_path / "z.csv").write_text('Location ID,Zone,Borough\n56,"Corona, b",Queens\n56,"Corona, a",Queens\n1,Newark,EWR\n')
     zones = files.load_dimension(spark, str(tmp_path / "z.csv"))
