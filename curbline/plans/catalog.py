@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline import contracts as C
-from curbline.functions.dates import month_text
+from curbline.functions.dates import date_text, month_text
 from curbline.functions.exprs import beyond_cents, cents, from_cents, nan_to_null, round2
 from curbline.operators import checks, clean, enrich, metrics, profile, rank
 from curbline.plans import event_trips, incremental, warehouse
@@ -139,7 +139,7 @@ def scan_partitioned(spark, sf_dir):
 def list_partitions(spark, sf_dir):
     path = scratch_path(spark, "detail")
     parquet.replace_partitions(detail(spark, sf_dir), path)
-    return files.list_partitions(spark, path)
+    return files.list_partitions(spark, path).withColumn("day_text", date_text(F.col(C.DATE_KEY)))
 
 
 @query
@@ -232,6 +232,11 @@ FAR_COLUMNS = [
 ]
 
 
+@query
+def negative_amounts_sample(spark, sf_dir):
+    return profile.sample_rows(negative_amounts(spark, sf_dir), [F.asc("event_id")])
+
+
 @query
 def far_trips(spark, sf_dir):
     far = profile.anomalies(raw(spark, sf_dir), F.col("trip_distance") > 100, FAR_COLUMNS)
@@ -273,6 +278,11 @@ def overall_metrics(spark, sf_dir):
     return metrics.overall_metrics(zone_table(spark, sf_dir))
 
 
+@query
+def total_trips(spark, sf_dir):
+    return metrics.total_of(zone_table(spark, sf_dir))
+
+
 @query
 def row_count(spark, sf_dir):
     return metrics.row_count(table(spark, sf_dir, "lineitem"))

@@ -15,7 +15,7 @@ def with_next_time(events: DataFrame) -> DataFrame:
 
     A user may own a large share of all rows, so the window runs per user and
     hour. Into each hour goes one marker with the time the user's next hour
-    begins; it follows the last event there and is dropped again. The hours of
+    begins; that time sorts it after the events there, and it is dropped again. The hours of
     one user, at most as many as the calendar has, are what a task holds whole.
     """
     rows = events.select("event_id", "user_id", "ts", "value", F.date_trunc("hour", "ts").alias("hour"))
@@ -25,7 +25,7 @@ def with_next_time(events: DataFrame) -> DataFrame:
     marked = rows.withColumn("marker", F.lit(False)).unionByName(
         markers.withColumn("marker", F.lit(True)), allowMissingColumns=True
     )
-    in_hour = W.partitionBy("user_id", "hour").orderBy("marker", "ts", "event_id")
+    in_hour = W.partitionBy("user_id", "hour").orderBy("ts", "event_id")
     return marked.withColumn("next_ts", F.lead("ts").over(in_hour)).where(~F.col("marker"))
 
 

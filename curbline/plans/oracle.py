@@ -327,7 +327,9 @@ def oracle_sql() -> dict[str, str]:
         "discover_months": "SELECT DISTINCT strftime(ts, '%Y-%m') AS year_month,"
         " concat('yellow_tripdata_', strftime(ts, '%Y-%m'), '.parquet') AS file_name FROM events",
         "scan_partitioned": SELECT_DWD,
-        "list_partitions": select(FRONT, "SELECT DISTINCT trip_date FROM dwd"),
+        "list_partitions": select(
+            FRONT, "SELECT DISTINCT trip_date, strftime(trip_date, '%Y-%m-%d') AS day_text FROM dwd"
+        ),
         "pruned_read": select(
             (*FRONT, MIDDLE), "SELECT dwd.* FROM dwd, middle WHERE trip_date BETWEEN day - 1 AND day + 1"
         ),
@@ -340,6 +342,11 @@ def oracle_sql() -> dict[str, str]:
         "negative_amounts": select(
             (RAW,), f"SELECT {TIMES}, trip_distance, fare_amount, total_amount, payment_type FROM raw_trips WHERE total_amount < 0"
         ),
+        "negative_amounts_sample": select(
+            (RAW,),
+            f"SELECT {TIMES}, trip_distance, fare_amount, total_amount, payment_type FROM raw_trips"
+            " WHERE total_amount < 0 ORDER BY event_id LIMIT 20",
+        ),
         "payment_type_zero": select(
             (RAW,), f"SELECT {TIMES}, passenger_count, trip_distance, fare_amount, total_amount FROM raw_trips WHERE payment_type = 0"
         ),
@@ -350,6 +357,7 @@ def oracle_sql() -> dict[str, str]:
         "location_metrics": select((*FRONT, LOCATION), "SELECT * FROM location"),
         "rolled_up_hourly": SELECT_HOURLY,
         "overall_metrics": select((*ZONED, OVERALL), "SELECT * FROM overall"),
+        "total_trips": select(FRONT, "SELECT count(*) AS total_trip_count FROM dwd"),
         "row_count": "SELECT count(*) AS rows FROM lineitem",
         "freq_passenger_count": select(
             (RAW,), "SELECT passenger_count, count(*) AS count FROM raw_trips GROUP BY passenger_count"
