@@ -152,9 +152,12 @@ def pruned_read(spark, sf_dir):
 
 @query
 def load_dimension(spark, sf_dir):
-    path = scratch_path(spark, "zones.csv")
-    write_zone_csv(spark, sf_dir, path)
-    return files.load_dimension(spark, path)
+    """Suppliers, each with a second, outdated row."""
+    path = scratch_path(spark, "suppliers.csv")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    outdated = suppliers.withColumn("s_name", F.concat("s_name", F.lit("_OLD")))
+    suppliers.unionByName(outdated).write.option("header", True).csv(path)
+    return files.load_dimension(spark, path, suppliers.schema, {"s_suppkey": "supplier_id"}, "supplier_id")
 
 
 @query
@@ -335,8 +338,7 @@ def range_histogram(spark, sf_dir):
 
 @query
 def duplicate_keys(spark, sf_dir):
-    rows = event_trips.zone_rows(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
-    return profile.duplicate_keys(rows, ["LocationID"])
+    return profile.duplicate_keys(table(spark, sf_dir, "orders"), ["o_custkey"])
 
 
 @query

@@ -14,19 +14,20 @@ def with_next_time(events: DataFrame) -> DataFrame:
     """Each event with the time of the same user's next event.
 
     A user may own a large share of all rows, so the window runs per user and
-    hour. Into each hour goes one marker with the time the user's next hour
-    begins; that time sorts it after the events there, and it is dropped again. The hours of
-    one user, at most as many as the calendar has, are what a task holds whole.
+    minute. Into each minute goes one marker with the time the user's next busy
+    minute begins; that time sorts it after the events there, and it is dropped
+    again. Of one user a task holds whole only the minutes, no more than the
+    calendar has, and the events of a single minute.
     """
-    rows = events.select("event_id", "user_id", "ts", "value", F.date_trunc("hour", "ts").alias("hour"))
-    hours = rows.groupBy("user_id", "hour").agg(F.min("ts").alias("first_ts"))
-    next_hour = F.lead("first_ts").over(W.partitionBy("user_id").orderBy("hour"))
-    markers = hours.select("user_id", "hour", next_hour.alias("ts")).where(F.col("ts").isNotNull())
+    rows = events.select("event_id", "user_id", "ts", "value", F.date_trunc("minute", "ts").alias("minute"))
+    minutes = rows.groupBy("user_id", "minute").agg(F.min("ts").alias("first_ts"))
+    next_minute = F.lead("first_ts").over(W.partitionBy("user_id").orderBy("minute"))
+    markers = minutes.select("user_id", "minute", next_minute.alias("ts")).where(F.col("ts").isNotNull())
     marked = rows.withColumn("marker", F.lit(False)).unionByName(
         markers.withColumn("marker", F.lit(True)), allowMissingColumns=True
     )
-    in_hour = W.partitionBy("user_id", "hour").orderBy("ts", "event_id")
-    return marked.withColumn("next_ts", F.lead("ts").over(in_hour)).where(~F.col("marker"))
+    in_minute = W.partitionBy("user_id", "minute").orderBy("ts", "event_id")
+    return marked.withColumn("next_ts", F.lead("ts").over(in_minute)).where(~F.col("marker"))
 
 
 def raw_trips(events: DataFrame) -> DataFrame:

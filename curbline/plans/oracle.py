@@ -292,7 +292,6 @@ DATASETS = [
 SELECT_DWD = select(FRONT, "SELECT * FROM dwd")
 SELECT_HOURLY = select((*FRONT, HOURLY), "SELECT * FROM hourly")
 SELECT_DAILY = select((*FRONT, DAILY), "SELECT * FROM daily")
-SELECT_ZONES = select((ZONE_ROWS, ZONES), "SELECT * FROM zones")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -333,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "pruned_read": select(
             (*FRONT, MIDDLE), "SELECT dwd.* FROM dwd, middle WHERE trip_date BETWEEN day - 1 AND day + 1"
         ),
-        "load_dimension": SELECT_ZONES,
+        "load_dimension": "SELECT s_suppkey AS supplier_id, s_name, s_nationkey FROM supplier",
         "load_dimension_parts": "SELECT p_partkey AS part_id, p_name, p_brand, p_type, p_size FROM part",
         "clean_detail": SELECT_DWD,
         "clean_exploratory": select((RAW, STUDY), "SELECT * FROM study"),
@@ -369,9 +368,7 @@ def oracle_sql() -> dict[str, str]:
         "quantile_summary": select((RAW,), quantile_summary("raw_trips", MONEY)),
         "quantile_summary_lineitem": quantile_summary("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]),
         "range_histogram": select((RAW,), HISTOGRAM),
-        "duplicate_keys": select(
-            (ZONE_ROWS,), "SELECT LocationID, count(*) AS count FROM zone_rows GROUP BY LocationID HAVING count(*) > 1"
-        ),
+        "duplicate_keys": "SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey HAVING count(*) > 1",
         "duplicate_keys_lineitem": "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem"
         " GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
         "location_zone": select(ZONED, "SELECT * FROM location_zone"),
