@@ -57,7 +57,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 # Bytes of input behind one shuffle partition, and the most partitions asked for.
-SHUFFLE_BYTES = 256 << 20
+SHUFFLE_BYTES = 128 << 20
 MOST_PARTITIONS = 20_000
 
 

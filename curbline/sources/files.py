@@ -77,11 +77,18 @@ def read_raw(spark: SparkSession, paths: list[str], schema: T.StructType | None
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of the schema, cast or NULL, followed by any others."""
+    """The columns of the schema, cast or NULL, followed by any others.
+
+    Names match whatever their case. A value its type cannot hold, such as a
+    NaN count, becomes NULL instead of failing the whole load.
+    """
+    present = {name.lower() for name in df.columns}
     declared = [
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        (F.col(f.name) if f.name.lower() in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
+        for f in schema.fields
     ]
-    return df.select(*declared, *[name for name in df.columns if name not in schema.names])
+    known = {name.lower() for name in schema.names}
+    return df.select(*declared, *[name for name in df.columns if name.lower() not in known])
 
 
 def partition_files(files: DataFrame, key: str = DATE_KEY) -> DataFrame:

@@ -6,7 +6,7 @@ def test_shuffles_are_raised_to_fit_and_never_lowered(spark):
     try:
         fit_shuffles(spark, 1000)
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        fit_shuffles(spark, 256 << 30)
+        fit_shuffles(spark, 128 << 30)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "1024"
         fit_shuffles(spark, 100 << 40)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "20000"
