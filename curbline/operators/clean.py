@@ -79,8 +79,7 @@ def clean_exploratory(raw: DataFrame, cols: TripColumns = TRIP) -> DataFrame:
     )
 
 
-def rejects_by_rule(df: DataFrame, rule_sets: dict[str, list[Rule]]) -> DataFrame:
-    """Per rule, in one pass over all sets: rows failing it, and rows it is the first of its set to reject."""
+def reject_entries(rule_sets: dict[str, list[Rule]]) -> list[Column]:
     entries = []
     for name, rules in rule_sets.items():
         passed_before = F.lit(True)
@@ -96,4 +95,9 @@ def rejects_by_rule(df: DataFrame, rule_sets: dict[str, list[Rule]]) -> DataFram
                 )
             )
             passed_before = passed_before & keep
-    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    return entries
+
+
+def rejects_by_rule(df: DataFrame, rule_sets: dict[str, list[Rule]]) -> DataFrame:
+    """Per rule, in one pass over all sets: rows failing it, and rows it is the first of its set to reject."""
+    return df.agg(F.array(*reject_entries(rule_sets)).alias("entries")).select(F.inline("entries"))

@@ -22,15 +22,16 @@ def _one_pass(df: DataFrame, entries: list[Column]) -> DataFrame:
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
+def null_entries(columns: list[str]) -> list[Column]:
+    return [
+        F.struct(F.lit(name).alias("column"), F.count("*").alias("rows"), F.count_if(F.col(name).isNull()).alias("nulls"))
+        for name in columns
+    ]
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Rows and NULLs of every column."""
-    return _one_pass(
-        df,
-        [
-            F.struct(F.lit(name).alias("column"), F.count("*").alias("rows"), F.count_if(F.col(name).isNull()).alias("nulls"))
-            for name in df.columns
-        ],
-    )
+    return _one_pass(df, null_entries(df.columns))
 
 
 def null_rows(df: DataFrame, column: str, columns: list[str]) -> DataFrame:
@@ -42,8 +43,7 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("count")).orderBy(F.asc_nulls_first(column))
 
 
-def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows, zeros, negatives, extremes and mean of each column."""
+def numeric_entries(columns: list[str]) -> list[Column]:
     entries = []
     for name in columns:
         value = F.col(name)
@@ -59,7 +59,12 @@ def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
                 F.try_divide(total, F.count(value).cast("double")).alias("mean"),
             )
         )
-    return _one_pass(df, entries)
+    return entries
+
+
+def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, zeros, negatives, extremes and mean of each column."""
+    return _one_pass(df, numeric_entries(columns))
 
 
 @dataclass(frozen=True)
@@ -114,9 +119,7 @@ BANDS = {
 }
 
 
-def range_histogram(df: DataFrame, bands: dict[str, list[Band]] = BANDS) -> DataFrame:
-    """Rows in each band, and per column the rows in no band (``unbanded``)."""
-
+def band_entries(bands: dict[str, list[Band]]) -> list[Column]:
     def entry(column, position, name, condition):
         return F.struct(
             F.lit(column).alias("column"),
@@ -131,7 +134,12 @@ def range_histogram(df: DataFrame, bands: dict[str, list[Band]] = BANDS) -> Data
         entries += [entry(column, i, band.name, hit) for i, (band, hit) in enumerate(zip(ranges, held), start=1)]
         in_any = F.coalesce(reduce(Column.__or__, held), F.lit(False))
         entries.append(entry(column, len(ranges) + 1, "unbanded", ~in_any))
-    return _one_pass(df, entries)
+    return entries
+
+
+def range_histogram(df: DataFrame, bands: dict[str, list[Band]] = BANDS) -> DataFrame:
+    """Rows in each band, and per column the rows in no band (``unbanded``)."""
+    return _one_pass(df, band_entries(bands))
 
 
 def quantile_summary(df: DataFrame, columns: list[str], quantiles: dict[str, float] = QUARTILES) -> DataFrame:

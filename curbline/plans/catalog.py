@@ -12,7 +12,7 @@ from curbline import contracts as C
 from curbline.functions.dates import date_text, month_text
 from curbline.functions.exprs import beyond_cents, cents, from_cents, nan_to_null, round2
 from curbline.operators import checks, clean, enrich, metrics, profile, rank
-from curbline.plans import event_trips, incremental, warehouse
+from curbline.plans import event_trips, incremental, quality, warehouse
 from curbline.session import fit_shuffles, scratch_path
 from curbline.sinks import parquet, publish
 from curbline.sources import files
@@ -336,6 +336,25 @@ def range_histogram(spark, sf_dir):
     return profile.range_histogram(raw(spark, sf_dir))
 
 
+@query
+def quality_bands(spark, sf_dir):
+    return quality.quality_report(raw(spark, sf_dir))["bands"]
+
+
+@query
+def quality_rejects(spark, sf_dir):
+    return quality.quality_report(raw(spark, sf_dir))["rejects"]
+
+
+@query
+def study_clean(spark, sf_dir):
+    root = scratch_path(spark, "study")
+    write_raw_months(staged_raw(spark, sf_dir), f"{root}/raw")
+    months = files.discover_months(spark, f"{root}/raw").collect()
+    quality.study_months(spark, [row["month_path"] for row in months], f"{root}/out")
+    return spark.read.parquet(f"{root}/out/clean")
+
+
 @query
 def duplicate_keys(spark, sf_dir):
     return profile.duplicate_keys(table(spark, sf_dir, "orders"), ["o_custkey"])

@@ -368,6 +368,9 @@ def oracle_sql() -> dict[str, str]:
         "quantile_summary": select((RAW,), quantile_summary("raw_trips", MONEY)),
         "quantile_summary_lineitem": quantile_summary("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]),
         "range_histogram": select((RAW,), HISTOGRAM),
+        "quality_bands": select((RAW,), HISTOGRAM),
+        "quality_rejects": select((RAW,), REJECTS),
+        "study_clean": select((RAW, STUDY), "SELECT * FROM study"),
         "duplicate_keys": "SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey HAVING count(*) > 1",
         "duplicate_keys_lineitem": "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem"
         " GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",

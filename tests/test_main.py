@@ -11,6 +11,9 @@ def test_build_publish_and_check(spark, tmp_path, capsys):
     assert main([*places, "--publish", str(tmp_path / "out")]) == 0
     assert "months loaded: 2024-01" in capsys.readouterr().out
     assert main([*places, "--check"]) == 0
-    assert main([*places, "--publish", str(tmp_path / "out")]) == 0
+    assert main([*places, "--publish", str(tmp_path / "out"), "--study", str(tmp_path / "study")]) == 0
+    assert spark.read.parquet(str(tmp_path / "study" / "clean")).count() == 31
+    nulls = spark.read.parquet(str(tmp_path / "study" / "nulls"))
+    assert nulls.where("column = 'tip_amount'").first()["nulls"] == 31
     assert "months loaded: none" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "out" / "dws_daily_taxi")).count() == 31
