@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from curbline.contracts import DATE_KEY
 from curbline.operators.enrich import one_row_per_key
-from curbline.session import scratch_path
 from curbline.sources.files import list_files, partition_files, path_exists
 
 
@@ -67,7 +67,7 @@ def upsert(df: DataFrame, path: str, keys: list[str], partition: str | None = No
 
     When one of the keys is the partition column, only the partitions the
     source has rows for are read and rewritten. Otherwise the merged table is
-    first written in full to the shared folder, and that copy replaces the old.
+    written in full beside the old one and then takes its place.
     """
     spark = df.sparkSession
     source = one_row_per_key(df, keys).select(*df.columns)
@@ -82,6 +82,18 @@ def upsert(df: DataFrame, path: str, keys: list[str], partition: str | None = No
         touched = target.join(source.select(partition).distinct(), partition, "left_semi")
         replace_partitions(merge_by_key(touched, source, keys), path, partition)
         return
-    staged = scratch_path(spark, "upsert")
-    overwrite(merge_by_key(target, source, keys), staged)
-    overwrite(spark.read.parquet(staged), path)
+    swap_in(merge_by_key(target, source, keys), path)
+
+
+def swap_in(df: DataFrame, path: str) -> None:
+    """Write beside the table, which ``df`` may read, and rename; both copies are whole until the end."""
+    spark = df.sparkSession
+    suffix = uuid.uuid4().hex
+    overwrite(df, f"{path}_new_{suffix}")
+    table, new, old = (
+        spark._jvm.org.apache.hadoop.fs.Path(name) for name in (path, f"{path}_new_{suffix}", f"{path}_old_{suffix}")
+    )
+    file_system = table.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not (file_system.rename(table, old) and file_system.rename(new, table)):
+        raise OSError(f"could not put {new} in place of {path}")
+    file_system.delete(old, True)

@@ -66,6 +66,7 @@ def test_upsert_keeps_updates_inserts(spark, folder, partition):
         parquet.upsert(source, f"{folder}/t", ["k"], partition)
         merged = spark.read.parquet(f"{folder}/t").select("k", "a", "b")
         assert rows_of(merged) == [("a", 1, 1), ("b", 20, None), ("c", 30, 3)]
+    assert glob.glob(f"{folder}/*") == [f"{folder}/t"]
 
 
 def test_upsert_of_null_key_is_repeatable(spark, folder):
