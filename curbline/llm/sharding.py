@@ -124,7 +124,7 @@ def histogram_sort(
         run = 0 if i % fine == 0 else run
         ahead.append(run)
         run += sizes.get(i, 0)
-    in_part = Window.partitionBy(_PART).orderBy(_KEY, F.col(f"`{row_id}`"), F.col(f"`{group}`"))
+    in_part = Window.partitionBy(_PART).orderBy(_KEY, F.col(f"`{row_id}`"), F.xxhash64(F.col(f"`{group}`")))
     before = F.element_at(F.array(*[F.lit(x).cast("long") for x in ahead]), F.col(_PART) + 1)
     return keyed.withColumn(_PART, part).select(
         *keep,
