@@ -39,4 +39,38 @@ select doc_id, size, source_size, target,
 from ordered
 """
 
-ORACLE_SQL = {"op8_mixing": MIXING}
+DECONTAMINATION = r"""
+with texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words, row_number() over () as row
+  from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark where item_id is not null
+), item_windows as (
+  select distinct item_id, least(len(words), 13) as size,
+         array_to_string(words[pos : pos + least(len(words), 13) - 1], ' ') as piece
+  from (select *, unnest(range(1, greatest(len(words) - 11, 2))) as pos from items where len(words) > 0)
+), document_windows as (
+  select row, pos, size, array_to_string(words[pos : pos + size - 1], ' ') as piece
+  from (select t.row, t.words, s.size, unnest(range(1, len(words) - s.size + 2)) as pos
+        from texts t, (select distinct size from item_windows) s where len(t.words) >= s.size)
+), hits as (
+  select d.row, d.pos, d.size, i.item_id from document_windows d join item_windows i using (size, piece)
+), hit_words as (
+  select row, count(distinct place) as n_hit
+  from (select row, unnest(range(pos, pos + size)) as place from (select distinct row, pos, size from hits)) group by row
+), hit_items as (
+  select row, count(*) as n_items, string_agg(item, ',' order by item) as listed
+  from (select distinct row, cast(item_id as varchar) as item from hits) group by row
+)
+select t.doc_id, cast(len(t.words) as bigint) as n_words, coalesce(w.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
+       sha256(coalesce(i.listed, '')) as items_sha256, coalesce(w.n_hit, 0) > 0 and 20 * w.n_hit >= len(t.words) as contaminated
+from texts t left join hit_words w using (row) left join hit_items i using (row)
+"""
+
+ORACLE_SQL = {
+    "op1_decontamination": DECONTAMINATION,
+    "op8_mixing": MIXING,
+}

@@ -4,20 +4,13 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from compare import compare, oracle_connection
 from pyspark.sql import functions as F
 
 from curbline.llm import mixing, queries, sharding
-from curbline.llm.oracles import ORACLE_SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
-def test_query_matches_oracle(spark, name):
-    assert compare(queries.QUERIES[name](spark, SF_DIR), oracle_connection(SF_DIR), ORACLE_SQL[name]) == []
-
-
 def shards_of(rows):
     shards = defaultdict(list)
     for row in rows:
