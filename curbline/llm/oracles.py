@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from curbline.llm.licenses import LEAST_DICE, TEMPLATES
+
 MIXING = r"""
 with sized as (
   select doc_id, source,
@@ -70,7 +72,81 @@ select t.doc_id, cast(len(t.words) as bigint) as n_words, coalesce(w.n_hit, 0) a
 from texts t left join hit_words w using (row) left join hit_items i using (row)
 """
 
+QUALITY_RULES = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, row_number() over () as row,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), lines as (
+  select row, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+  from (select row, unnest(string_split(text, chr(10))) as line from texts)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by row
+), windows as (
+  select row, pos, count(*) over (partition by row, words[pos], words[pos + 1], words[pos + 2]) as times
+  from (select row, words, unnest(range(1, len(words) - 1)) as pos from texts)
+), repeats as (
+  select row, count(distinct place) as n_repeat_words
+  from (select row, unnest([pos, pos + 1, pos + 2]) as place from windows where times > 1) group by row
+), measured as (
+  select t.doc_id, cast(len(words) as bigint) as n_words, coalesce(cast(list_sum([len(w) for w in words]) as bigint), 0) as word_chars,
+         cast(len(text) - len(translate(text, '#*$%&|<>', '')) as bigint) as n_symbols,
+         coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+         coalesce(n_lines, 0) as n_lines, len(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper,
+         len(regexp_replace(text, '[^A-Za-z]', '', 'g')) as n_letters, len(text) - len(replace(text, '!', '')) as n_bangs
+  from texts t left join lines using (row) left join repeats using (row)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words or 100 * n_symbols > 10 * n_words
+            or 100 * n_dup_lines > 30 * n_lines or 100 * word_chars < 200 * n_words or 100 * word_chars > 1600 * n_words
+            or 100 * n_upper > 60 * n_letters or 100 * n_bangs > 30 * n_words) as kept
+from measured
+"""
+
+
+def licenses() -> str:
+    quoted = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(TEMPLATES))
+    lower = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, row_number() over () as row from documents
+), pieces as (
+  select row, 'text' as level, text as piece from texts
+  union all select row, 'line', unnest(string_split(text, chr(10))) from texts
+  union all select row, 'sentence', unnest(string_split(regexp_replace(text, '([.!?])[ \t]', '\1' || chr(10), 'g'), chr(10))) from texts
+), templates as (
+  select * from (values {quoted}) as t(template, license, piece)
+), all_pieces as (
+  select 'u' as kind, row_number() over () as unit, row, level, piece from pieces
+  union all select 't', template, null, null, piece from templates
+), worded as (
+  select kind, unit, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words, row, level from all_pieces
+), grams as (
+  select distinct kind, unit, words[pos] || ' ' || words[pos + 1] as gram
+  from (select kind, unit, words, unnest(range(1, len(words))) as pos from worded)
+), sizes as (
+  select kind, unit, count(*) as n from grams group by all
+), common_grams as (
+  select u.unit, t.unit as template, count(*) as shared
+  from grams u join grams t on u.gram = t.gram and u.kind = 'u' and t.kind = 't' group by all
+), scored as (
+  select o.unit, o.template, 2 * shared / (a.n + b.n) as dice
+  from common_grams o join sizes a on a.kind = 'u' and a.unit = o.unit join sizes b on b.kind = 't' and b.unit = o.template
+), chosen as (
+  select unit, license, dice from scored join templates using (template) where dice >= {LEAST_DICE}
+  qualify row_number() over (partition by unit order by dice desc, template) = 1
+), by_text as (
+  select w.row, count(*) as n, string_agg(distinct license, ',' order by license) as listed, max(dice) as dice
+  from chosen c join worded w on w.kind = 'u' and w.unit = c.unit group by w.row
+)
+select doc_id, coalesce(n, 0) as n_matches, coalesce(listed, '') as licenses, coalesce(dice, 0.0)::double as dice
+from texts left join by_text using (row)
+"""
+
+
 ORACLE_SQL = {
     "op1_decontamination": DECONTAMINATION,
+    "op2_licenses": licenses(),
     "op8_mixing": MIXING,
+    "op9_quality_rules": QUALITY_RULES,
 }

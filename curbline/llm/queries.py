@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, mixing, sharding
+from curbline.llm import decontamination, licenses, mixing, quality_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+        F.coalesce(F.array_max("matches.dice"), F.lit(0.0)).alias("dice"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "text", sharding.text_bytes("text").alias("size"))
@@ -46,8 +56,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    report = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    found = quality_rules.cascade(docs, quality_rules.estimate(docs), report)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.select(
+        "doc_id", *report, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept")
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_licenses": op2_licenses,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
+    "op9_quality_rules": op9_quality_rules,
 }
