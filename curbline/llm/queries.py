@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, licenses, mixing, quality_rules, sharding
+from curbline.llm import decontamination, language, licenses, mixing, quality_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,13 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.where(F.col("doc_id").isNotNull() & ~language.held_out("doc_id"))
+    found = language.identify(docs, language.learn(learned))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "text", sharding.text_bytes("text").alias("size"))
@@ -69,6 +76,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
+    "op6_language": op6_language,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
