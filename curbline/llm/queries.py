@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import decontamination, language, licenses, mixing, quality_rules, sharding
+from curbline.session import freeze
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +61,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
-    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(freeze(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
