@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, language, licenses, mixing, quality_rules, sharding
+from curbline.llm import decontamination, language, licenses, mixing, quality_rules, sharding, weak_labels
 from curbline.session import freeze
 
 
@@ -35,6 +35,12 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = weak_labels.learn_labels(docs)
+    return weak_labels.classify(docs, labels, weak_labels.learn_scorer(docs, labels))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = docs.where(F.col("doc_id").isNotNull() & ~language.held_out("doc_id"))
@@ -77,6 +83,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
+    "op5_weak_labels": op5_weak_labels,
     "op6_language": op6_language,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
