@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, language, licenses, mixing, quality_rules, sharding, weak_labels
+from curbline.llm import decontamination, language, licenses, mixing, pii, quality_rules, sharding, weak_labels
 from curbline.session import freeze
 
 
@@ -35,6 +35,23 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    kinds = F.array(*[F.lit(kind) for kind in pii.KINDS])
+
+    def joined(spans: str) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ","
+        )
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = weak_labels.learn_labels(docs)
@@ -83,6 +100,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
+    "op4_pii": op4_pii,
     "op5_weak_labels": op5_weak_labels,
     "op6_language": op6_language,
     "op7_sharding": op7_sharding,
