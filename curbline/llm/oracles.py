@@ -144,9 +144,38 @@ from texts left join by_text using (row)
 """
 
 
+JACCARD = r"""
+with recursive texts as (
+  select doc_id, row_number() over () as row,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents
+), shingles as (
+  select row, list_sort(list_distinct(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+         else [array_to_string(words[i : i + 4], ' ') for i in range(1, len(words) - 3)] end)) as own
+  from texts
+), classes as (
+  select own, min(doc_id) as least, len(own) as n from shingles join texts using (row) where len(own) > 0 group by own
+), grams as (
+  select least, n, unnest(own) as gram from classes
+), links as (
+  select a.least as x, b.least as y from grams a join grams b on a.gram = b.gram and a.least < b.least
+  group by a.least, b.least, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), both_ways as (
+  select x, y from links union all select y, x from links
+), reached as (
+  select least as x, least as y from classes union select r.x, b.y from reached r join both_ways b on b.x = r.y
+), parts as (
+  select x, min(y) as component_id from reached group by x
+)
+select doc_id, cast(len(own) as bigint) as n_shingles, coalesce(p.component_id, doc_id) as component_id
+from texts join shingles s using (row) left join classes c on c.own = s.own left join parts p on p.x = c.least
+"""
+
+
 ORACLE_SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_licenses": licenses(),
     "op8_mixing": MIXING,
     "op9_quality_rules": QUALITY_RULES,
+    "op10_jaccard": JACCARD,
 }

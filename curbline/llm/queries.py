@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, language, licenses, mixing, pii, quality_rules, sharding, weak_labels
+from curbline.llm import decontamination, jaccard, language, licenses, mixing, pii, quality_rules, sharding, weak_labels
 from curbline.session import freeze
 
 
@@ -97,6 +97,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _, _ = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
@@ -106,4 +111,5 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_jaccard": op10_jaccard,
 }
