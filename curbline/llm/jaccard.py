@@ -3,14 +3,16 @@
 A document is its set of distinct shingles (hashed runs of five words). Documents of equal sets are one
 class, and only classes are compared. The shingles of a class, hashed into GROUPS groups, give its
 count vector, a point. Two sets overlap in at most the sum of the smaller coordinates of their points;
-where that sum is too small for the threshold, the pair is never compared as sets.
+where that sum is too small for the threshold, the pair is never compared as sets. The bound is taken
+twice: on the points, and for pairs left by them on finer count vectors of a group for every two shingles.
 
 Candidates share a shingle of their prefixes (the rarest shingles of a set, so many that two linked
 sets must share one), and so are spread by shingle. The classes at a shingle, ordered by size, are
 linked in two rounds:
 
-1. Each class is paired with its predecessor. Pairs that pass the bound are verified on the sets, and
-   the links give first components; a large group of near copies mostly falls into one, at linear cost.
+1. Each class is paired with its predecessors. Of the pairs that pass the bound, each class's pair at
+   the most shingles is verified on the sets, and the links give first components; a large group of
+   near copies mostly falls into one, at linear cost.
 2. At shingles where several components meet, the points are packed into R-tree leaves of LEAF points
    with their coordinate maxima. Leaves, then points, are joined while the bound allows a link, leaving
    out what is in one component already; the pairs left are verified.
@@ -106,7 +108,7 @@ def _described(levels: np.ndarray, words: int):
                 rows = []
                 for own in shingle_sets(data, bounds, words):
                     if not len(own):
-                        rows.append((0, None, None, None, None))
+                        rows.append((0, None, None, None, None, None))
                         continue
                     slot = (own & np.uint64(SLOTS - 1)).astype(np.int64)
                     order = np.lexsort((own, levels[slot]))
@@ -114,12 +116,15 @@ def _described(levels: np.ndarray, words: int):
                     points = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=GROUPS)
                     # 32 bits of each prefix shingle: a clash only adds a candidate
                     short = (prefix >> np.uint64(20)).astype(np.uint32).view(np.int32)
-                    rows.append((len(own), *_signature(own), short, np.minimum(points, _FULL).astype(np.uint8).tobytes()))
+                    bits = max(7, (len(own) // 2).bit_length())
+                    fine = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                    held = [np.minimum(x, _FULL).astype(np.uint8).tobytes() for x in (points, fine)]
+                    rows.append((len(own), *_signature(own), short, *held))
                 columns = list(zip(*rows))
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary())
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary())
                 arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), *arrays], names=["id", "n", "s1", "s2", "prefix", "point"]
+                    [batch.column(0).slice(first, end - first), *arrays], names=["id", "n", "s1", "s2", "prefix", "point", "fine"]
                 )
 
     return work
@@ -135,12 +140,30 @@ def _points(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
 
 
+def _fine_link(na: int, fa: np.ndarray, nb: int, fb: np.ndarray) -> bool:
+    """The same on count vectors of 2**k groups each; neighbouring groups of the longer one are merged."""
+    if len(fa) < len(fb):
+        fa, fb = fb, fa
+    full = (fa == _FULL).any() and (fb == _FULL).any()
+    fa = fa.reshape(len(fb), -1).sum(axis=1, dtype=np.int64)
+    return bool(full or 7 * int(np.minimum(fa, fb).sum()) >= 3 * (na + nb))
+
+
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, na, pa, nb, pb) that may link."""
+    """Pairs (a, b, times, na, fa, nb, fb) that may link."""
     for batch in batches:
-        na, nb = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-        ok = _may_link(na, _points(batch.column(3)), nb, _points(batch.column(5)))
-        yield batch.filter(pa.array(ok)).select(["a", "b"])
+        fa, fb = ([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in batch.column(i)] for i in (4, 6))
+        na, nb = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+        ok = [_fine_link(*x) for x in zip(na, fa, nb, fb)]
+        yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b", "times"])
+
+
+def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b, times) of classes that the fine bound leaves."""
+    fine = classes.select("cid", "n", "fine")
+    joined = pairs.join(fine.toDF("a", "na", "fa"), "a").join(fine.toDF("b", "nb", "fb"), "b")
+    joined = joined.select("a", "b", "times", "na", "fa", "nb", "fb")
+    return joined.mapInArrow(_bounded, "a long, b long, times long")
 
 
 def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,13 +310,14 @@ def near_duplicates(
     docs = df.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string"))
     kind = df.schema[doc_id].dataType.simpleString()
     levels = common_levels(texts, words)
-    shape = f"id {kind}, n long, s1 long, s2 long, prefix array<int>, point binary"
+    shape = f"id {kind}, n long, s1 long, s2 long, prefix array<int>, point binary, fine binary"
     docs = freeze(docs.mapInArrow(_described(levels, words), shape))
     classes = docs.where("n > 0").groupBy("s1", "s2").agg(
         F.min("id").alias("least_id"),
         F.first("n").alias("n"),
         F.first("prefix").alias("prefix"),
         F.first("point").alias("point"),
+        F.first("fine").alias("fine"),
     )
     classes = freeze(classes).withColumn("cid", F.monotonically_increasing_id())
 
@@ -307,11 +331,10 @@ def near_duplicates(
     shared = at_shingle.where(near_before | near_next)
     shared = freeze(shared.select("shingle", "cid", "n", F.when(near_before, F.col("before.cid")).alias("before")))
 
-    point = classes.select("cid", "n", "point")
     pairs = shared.where("before is not null").select(F.greatest("cid", "before").alias("a"), F.least("cid", "before").alias("b"))
-    pairs = pairs.distinct().where("a <> b")
-    pairs = pairs.join(point.toDF("a", "na", "pa"), "a").join(point.toDF("b", "nb", "pb"), "b")
-    pairs = freeze(pairs.select("a", "b", "na", "pa", "nb", "pb").mapInArrow(_bounded, "a long, b long"))
+    pairs = pairs.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("times"))
+    pairs = may_link(pairs, classes).groupBy("a").agg(F.max(F.struct("times", "b")).alias("best"))
+    pairs = freeze(pairs.select("a", F.col("best.b").alias("b")))
     links = freeze(verify(pairs, classes, texts, words))
     joined = freeze(components(links))
 
@@ -319,7 +342,7 @@ def near_duplicates(
     mixed = with_comp.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     leaf = F.floor((F.row_number().over(by_size) - 1) / LEAF).alias("leaf")
     in_lists = with_comp.join(mixed.select("shingle"), "shingle", "left_semi").select("*", leaf)
-    in_lists = in_lists.join(point.select("cid", "point"), "cid")
+    in_lists = in_lists.join(classes.select("cid", "point"), "cid")
     leaves = in_lists.groupBy("shingle", "leaf").agg(
         F.collect_list(F.struct("n", "cid", "comp", "point")).alias("points"),
         F.min("n").alias("n_least"),
@@ -336,6 +359,7 @@ def near_duplicates(
     across = across.select(F.col("points").alias("left"), F.col("r_points").alias("right"))
     more = freeze(alone.unionByName(across).mapInArrow(_leaf_pairs, "a long, b long").distinct())
     more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    more = freeze(may_link(more.withColumn("times", F.lit(1).cast("long")), classes).select("a", "b"))
     links = freeze(links.union(verify(more, classes, texts, words)))
     joined = freeze(components(links))
 

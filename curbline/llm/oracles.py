@@ -167,7 +167,7 @@ with recursive texts as (
 ), parts as (
   select x, min(y) as component_id from reached group by x
 )
-select doc_id, cast(len(own) as bigint) as n_shingles, coalesce(p.component_id, doc_id) as component_id
+select doc_id, cast(len(s.own) as bigint) as n_shingles, coalesce(p.component_id, doc_id) as component_id
 from texts join shingles s using (row) left join classes c on c.own = s.own left join parts p on p.x = c.least
 """
 
