@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, jaccard, language, licenses, mixing, pii, quality_rules, sharding, weak_labels
+from curbline.llm import decontamination, jaccard, language, licenses, mixing, pii, quality_rules, repeats, sharding, weak_labels
 from curbline.session import freeze
 
 
@@ -35,6 +35,18 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.learn(docs))
@@ -105,6 +117,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
+    "op3_repeats": op3_repeats,
     "op4_pii": op4_pii,
     "op5_weak_labels": op5_weak_labels,
     "op6_language": op6_language,
