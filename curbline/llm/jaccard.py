@@ -37,7 +37,7 @@ from curbline.session import freeze
 WORDS = 5
 GROUPS = 128
 LEAF = 64
-SLOTS = 1 << 20
+SLOTS = 1 << 22
 FILTER_BITS = 24
 EDGES_A_TASK = 1_000_000
 _FULL = 255
@@ -91,7 +91,7 @@ def common_levels(texts: DataFrame, words: int) -> np.ndarray:
                 slot = grams[tb.same_text(of, words)] & np.uint64(SLOTS - 1)
                 np.add.at(times, slot.astype(np.int64), 1)
         mean = times.mean()
-        common = np.flatnonzero(times > 4 * mean + 4 * np.sqrt(mean) + 8)
+        common = np.flatnonzero(times > mean + 3 * np.sqrt(mean) + 2)
         yield pa.RecordBatch.from_arrays([pa.array(common), pa.array(times[common])], names=["slot", "times"])
 
     counted = texts.mapInArrow(work, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times"))
@@ -341,7 +341,8 @@ def near_duplicates(
     with_comp = shared.join(joined, "cid", "left").select("shingle", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
     mixed = with_comp.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     leaf = F.floor((F.row_number().over(by_size) - 1) / LEAF).alias("leaf")
-    in_lists = with_comp.join(mixed.select("shingle"), "shingle", "left_semi").select("*", leaf)
+    listed = F.count("*").over(Window.partitionBy("shingle")).alias("listed")
+    in_lists = with_comp.join(mixed.select("shingle"), "shingle", "left_semi").select("*", leaf, listed)
     in_lists = in_lists.join(classes.select("cid", "point"), "cid")
     leaves = in_lists.groupBy("shingle", "leaf").agg(
         F.collect_list(F.struct("n", "cid", "comp", "point")).alias("points"),
@@ -349,11 +350,13 @@ def near_duplicates(
         F.max("n").alias("n_most"),
         F.min("comp").alias("comp_least"),
         F.max("comp").alias("comp_most"),
+        F.first("listed").alias("listed"),
     )
     leaves = freeze(leaves)
     alone = leaves.where("comp_least < comp_most").select(F.col("points").alias("left"), F.expr("filter(points, x -> false)").alias("right"))
-    ahead = leaves.select("shingle", *[F.col(c).alias(f"r_{c}") for c in leaves.columns[1:]]).where("r_leaf > 0")
-    across = leaves.join(ahead, "shingle").where(
+    several = leaves.where(F.col("listed") > LEAF)
+    ahead = several.select("shingle", *[F.col(c).alias(f"r_{c}") for c in leaves.columns[1:]])
+    across = several.join(ahead, "shingle").where(
         "leaf < r_leaf and n_most * 4 >= r_n_least * 3 and (comp_least < comp_most or r_comp_least < r_comp_most or comp_least <> r_comp_least)"
     )
     across = across.select(F.col("points").alias("left"), F.col("r_points").alias("right"))
