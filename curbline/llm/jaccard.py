@@ -10,8 +10,8 @@ Candidates share a shingle of their prefixes (the rarest shingles of a set, so m
 sets must share one), and so are spread by shingle. The classes at a shingle, ordered by size, are
 linked in two rounds:
 
-1. Each class is paired with its predecessors. Of the pairs that pass the bound, each class's pair at
-   the most shingles is verified on the sets, and the links give first components; a large group of
+1. Each class is paired with its predecessors. Of the pairs that pass the bound, each class's
+   FIRST_PAIRS at the most shingles are verified on the sets, and the links give first components; a large group of
    near copies mostly falls into one, at linear cost.
 2. At shingles where several components meet, the points are packed into R-tree leaves of LEAF points
    with their coordinate maxima. Leaves, then points, are joined while the bound allows a link, leaving
@@ -37,8 +37,11 @@ from curbline.session import freeze
 WORDS = 5
 GROUPS = 128
 LEAF = 64
+LOWEST = 8
 SLOTS = 1 << 22
 FILTER_BITS = 24
+#: pairs of a class that the first round verifies; the second round takes whatever is left
+FIRST_PAIRS = 6
 EDGES_A_TASK = 1_000_000
 _FULL = 255
 
@@ -166,8 +169,21 @@ def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.mapInArrow(_bounded, "a long, b long, times long")
 
 
+def _made_here(low1: np.ndarray, low2: np.ndarray, shingle: np.ndarray) -> np.ndarray:
+    """Whether the least of the shingles in both rows is the given one, or there is none."""
+    least = np.full(len(shingle), np.nan)
+    for k in reversed(range(low1.shape[1])):
+        hit = (low1[:, k : k + 1] == low2).any(axis=1)
+        least[hit] = low1[hit, k]
+    return np.isnan(least) | (least == shingle)
+
+
 def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows are a leaf and a later one of its shingle (or none): the pairs of points that may link."""
+    """Rows are a leaf and a later one of its shingle (or none): the pairs of points that may link.
+
+    A pair meets at every shingle it shares; it is made at the least one in both points' lowest
+    shingles, or at all where those have none in common.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             rows = batch.slice(at, 512)
@@ -177,8 +193,10 @@ def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flat = column.flatten()
                 sizes = pa.compute.list_value_length(column).fill_null(0).to_numpy().astype(np.int64)
                 n, cid, comp = (flat.field(k).to_numpy() for k in ("n", "cid", "comp"))
-                sides.append((sizes, np.cumsum(sizes) - sizes, n, cid, comp, _points(flat.field("point"))))
+                low = np.stack([flat.field(f"low{k}").to_numpy(zero_copy_only=False).astype(float) for k in range(LOWEST)], axis=1)
+                sides.append((sizes, np.cumsum(sizes) - sizes, n, cid, comp, _points(flat.field("point")), low))
             left, right = sides
+            shingle = rows.column("shingle").to_numpy()
             firsts, seconds, inner = [], [], []
             for k in range(rows.num_rows):
                 i, a = int(left[0][k]), int(left[1][k])
@@ -197,13 +215,16 @@ def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seconds.append(np.tile(y + b, len(x)))
                 inner.append(np.zeros(len(x) * len(y), dtype=bool))
             first, second, inside = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(inner)
+            here = np.repeat(shingle, [len(x) for x in firsts])
             found: list[np.ndarray] = []
             for one, two, kind in ((left, left, True), (left, right, False)):
-                x, y = first[inside == kind], second[inside == kind]
+                x, y, at_list = first[inside == kind], second[inside == kind], here[inside == kind]
                 ok = (one[4][x] != two[4][y]) & (4 * np.minimum(one[2][x], two[2][y]) >= 3 * np.maximum(one[2][x], two[2][y]))
-                x, y = x[ok], y[ok]
+                x, y, at_list = x[ok], y[ok], at_list[ok]
                 for start in range(0, len(x), 50_000):
                     p, q = x[start : start + 50_000], y[start : start + 50_000]
+                    ok = _made_here(one[6][p], two[6][q], at_list[start : start + 50_000])
+                    p, q = p[ok], q[ok]
                     ok = _may_link(one[2][p], one[5][p], two[2][q], two[5][q])
                     ends = np.stack([one[3][p[ok]], two[3][q[ok]]], axis=1)
                     found.append(np.sort(ends, axis=1))
@@ -333,8 +354,8 @@ def near_duplicates(
 
     pairs = shared.where("before is not null").select(F.greatest("cid", "before").alias("a"), F.least("cid", "before").alias("b"))
     pairs = pairs.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("times"))
-    pairs = may_link(pairs, classes).groupBy("a").agg(F.max(F.struct("times", "b")).alias("best"))
-    pairs = freeze(pairs.select("a", F.col("best.b").alias("b")))
+    closest = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b"))
+    pairs = freeze(may_link(pairs, classes).withColumn("turn", closest).where(F.col("turn") <= FIRST_PAIRS).select("a", "b"))
     links = freeze(verify(pairs, classes, texts, words))
     joined = freeze(components(links))
 
@@ -343,9 +364,13 @@ def near_duplicates(
     leaf = F.floor((F.row_number().over(by_size) - 1) / LEAF).alias("leaf")
     listed = F.count("*").over(Window.partitionBy("shingle")).alias("listed")
     in_lists = with_comp.join(mixed.select("shingle"), "shingle", "left_semi").select("*", leaf, listed)
-    in_lists = in_lists.join(classes.select("cid", "point"), "cid")
+    lowest = F.sort_array(F.collect_list("shingle"))
+    lowest = in_lists.groupBy("cid").agg(F.slice(lowest, 1, LOWEST).alias("lowest"))
+    lowest = lowest.select("cid", *[F.get("lowest", F.lit(k)).alias(f"low{k}") for k in range(LOWEST)])
+    in_lists = in_lists.join(classes.select("cid", "point").join(lowest, "cid"), "cid")
+    low = [f"low{k}" for k in range(LOWEST)]
     leaves = in_lists.groupBy("shingle", "leaf").agg(
-        F.collect_list(F.struct("n", "cid", "comp", "point")).alias("points"),
+        F.collect_list(F.struct("n", "cid", "comp", "point", *low)).alias("points"),
         F.min("n").alias("n_least"),
         F.max("n").alias("n_most"),
         F.min("comp").alias("comp_least"),
@@ -353,13 +378,13 @@ def near_duplicates(
         F.first("listed").alias("listed"),
     )
     leaves = freeze(leaves)
-    alone = leaves.where("comp_least < comp_most").select(F.col("points").alias("left"), F.expr("filter(points, x -> false)").alias("right"))
+    alone = leaves.where("comp_least < comp_most").select("shingle", F.col("points").alias("left"), F.expr("filter(points, x -> false)").alias("right"))
     several = leaves.where(F.col("listed") > LEAF)
     ahead = several.select("shingle", *[F.col(c).alias(f"r_{c}") for c in leaves.columns[1:]])
     across = several.join(ahead, "shingle").where(
         "leaf < r_leaf and n_most * 4 >= r_n_least * 3 and (comp_least < comp_most or r_comp_least < r_comp_most or comp_least <> r_comp_least)"
     )
-    across = across.select(F.col("points").alias("left"), F.col("r_points").alias("right"))
+    across = across.select("shingle", F.col("points").alias("left"), F.col("r_points").alias("right"))
     more = freeze(alone.unionByName(across).mapInArrow(_leaf_pairs, "a long, b long").distinct())
     more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = freeze(may_link(more.withColumn("times", F.lit(1).cast("long")), classes).select("a", "b"))
