@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.contracts import ZONE_COLUMNS
-from curbline.functions.exprs import beyond_cents, cents, from_cents
+from curbline.functions.exprs import beyond_cents, from_cents, sum_cents
 
 
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,9 +37,9 @@ def unmatched_keys(location_zone: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("record_count"),
             F.sum("trip_count").alias("trip_count"),
-            from_cents(F.sum(cents(revenue)), F.sum(beyond_cents(revenue))).alias("total_revenue"),
+            from_cents(sum_cents(revenue), F.sum(beyond_cents(revenue))).alias("total_revenue"),
             F.try_divide(
-                from_cents(F.sum(cents(mean)), F.sum(beyond_cents(mean))), F.count(mean).cast("double")
+                from_cents(sum_cents(mean), F.sum(beyond_cents(mean))), F.count(mean).cast("double")
             ).alias("avg_revenue"),
         )
         .orderBy(F.desc_nulls_last("trip_count"), F.asc("PULocationID"))

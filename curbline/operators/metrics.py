@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.contracts import DATE_KEY
-from curbline.functions.exprs import beyond_cents, cents, from_cents, round2
+from curbline.functions.exprs import beyond_cents, cents, from_cents, round2, sum_cents
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ def _partial_columns(measure: Measure) -> dict[str, tuple]:
     """Name of each partial column: how a detail column fills it, how two partials combine."""
     name, value = measure.column, F.col(measure.column)
     columns = {
-        f"{name}__cents": (F.sum(cents(value)), F.sum),
+        f"{name}__cents": (sum_cents(value), F.sum),
         f"{name}__rest": (F.sum(beyond_cents(value)), F.sum),
         f"{name}__n": (F.count(value), F.sum),
     }
@@ -115,11 +115,11 @@ def overall_metrics(locations: DataFrame) -> DataFrame:
     """One row over all zones; the means are weighted by trips, from the rounded zone values."""
     revenue, distance = F.col("total_revenue"), F.col("avg_distance")
     trips = F.col("total_trip_count").cast("double")
-    weighted = F.sum(cents(distance) * F.col("trip_count"))
+    weighted = F.sum(cents(distance).cast("decimal(19,0)") * F.col("trip_count").cast("decimal(19,0)"))
     weighted_rest = F.sum(beyond_cents(distance) * F.col("trip_count"))
     return locations.agg(
         F.sum("trip_count").alias("total_trip_count"),
-        from_cents(F.sum(cents(revenue)), F.sum(beyond_cents(revenue))).alias("total_revenue"),
+        from_cents(sum_cents(revenue), F.sum(beyond_cents(revenue))).alias("total_revenue"),
         from_cents(weighted, weighted_rest).alias("weighted_distance"),
     ).select(
         "total_trip_count",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curbline.functions.exprs import beyond_cents, cents, from_cents
+from curbline.functions.exprs import beyond_cents, from_cents, sum_cents
 from curbline.operators.rank import range_parts
 from curbline.session import freeze
 
@@ -47,7 +47,7 @@ def numeric_entries(columns: list[str]) -> list[Column]:
     entries = []
     for name in columns:
         value = F.col(name)
-        total = from_cents(F.sum(cents(value)), F.sum(beyond_cents(value)))
+        total = from_cents(sum_cents(value), F.sum(beyond_cents(value)))
         entries.append(
             F.struct(
                 F.lit(name).alias("column"),

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 from curbline.session import freeze
 
-# Up to this many rows one task ranks the table; beyond it the ranking is spread over tasks.
-SINGLE_TASK_ROWS = 500_000
-
 
 def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     """The k rows with the largest ``by``, ties by ascending ``tie``."""
@@ -46,32 +43,18 @@ def range_parts(df: DataFrame, order) -> DataFrame:
     return df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
 
 
-def global_ranks(df: DataFrame, by: str, tie: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """row_number (ties by ``tie``, which must be unique), rank and dense_rank by descending ``by``."""
-    frozen = freeze(df)
-    if frozen.count() <= single_task_rows:
-        whole = W.orderBy(F.desc_nulls_last(by), F.asc(tie))
-        values = W.orderBy(F.desc_nulls_last(by))
-        return frozen.select(
-            "*",
-            F.row_number().over(whole).cast("bigint").alias("row_number"),
-            F.rank().over(values).cast("bigint").alias("rank"),
-            F.dense_rank().over(values).cast("bigint").alias("dense_rank"),
-        )
-    return _ranks_by_parts(frozen, by, tie)
-
-
-def _ranks_by_parts(df: DataFrame, by: str, tie: str) -> DataFrame:
-    """Rank inside range parts, then shift each part by what comes before it.
+def global_ranks(df: DataFrame, by: str, tie: str) -> DataFrame:
+    """row_number (ties by ``tie``, which must be unique), rank and dense_rank by descending ``by``.
 
-    A value may straddle parts: the later part then goes on with the rank at
+    Rows are ranked inside range parts, then each part is shifted by what comes
+    before it. A value may straddle parts: the later part then goes on with the rank at
     which its first value began, and does not count that value again.
     """
     order = [F.desc_nulls_last(by), F.asc(tie)]
     in_part = W.partitionBy("_part").orderBy(*order)
     value_in_part = W.partitionBy("_part").orderBy(order[0])
     local = freeze(
-        range_parts(df, order).select(
+        range_parts(freeze(df), order).select(
             "*",
             F.row_number().over(in_part).alias("_row"),
             F.rank().over(value_in_part).alias("_rank"),
@@ -120,7 +103,7 @@ def _ranks_by_parts(df: DataFrame, by: str, tie: str) -> DataFrame:
     )
 
 
-def location_ranks(locations: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def location_ranks(locations: DataFrame) -> DataFrame:
     """The three ranks of the zones, as int: there are no more zones than int ids."""
-    ranked = global_ranks(locations, "trip_count", "PULocationID", single_task_rows)
+    ranked = global_ranks(locations, "trip_count", "PULocationID")
     return ranked.withColumns({name: F.col(name).cast("int") for name in ("row_number", "rank", "dense_rank")})

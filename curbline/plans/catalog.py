@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline import contracts as C
 from curbline.functions.dates import date_text, month_text
-from curbline.functions.exprs import beyond_cents, cents, from_cents, nan_to_null, round2
+from curbline.functions.exprs import beyond_cents, from_cents, nan_to_null, round2, sum_cents
 from curbline.operators import checks, clean, enrich, metrics, profile, rank
 from curbline.plans import event_trips, incremental, quality, warehouse
 from curbline.session import fit_shuffles, scratch_path
@@ -397,7 +397,7 @@ def part_ranks(spark, sf_dir):
 @query
 def part_ranks_by_range(spark, sf_dir):
     counts = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("line_count"))
-    return rank.global_ranks(counts, "line_count", "l_partkey", single_task_rows=0)
+    return rank.global_ranks(counts, "line_count", "l_partkey")
 
 
 @query
@@ -535,7 +535,7 @@ def upsert_by_key(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     late = F.to_date("o_orderdate") >= F.lit(middle_day(orders, "o_orderdate"))
     price = F.col("o_totalprice")
-    total = round2(from_cents(F.sum(cents(price)), F.sum(beyond_cents(price))))
+    total = round2(from_cents(sum_cents(price), F.sum(beyond_cents(price))))
     path = scratch_path(spark, "customer_totals")
     for part in (orders.where(~late), orders.where(late)):
         totals = part.groupBy("o_custkey").agg(F.count("*").alias("order_count"), total.alias("total_price"))

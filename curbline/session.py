@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="curbline-")
     context.setCheckpointDir(folder)
@@ -56,9 +56,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
-# Bytes of input behind one shuffle partition, and the most partitions asked for.
+# Bytes of input behind one shuffle partition.
 SHUFFLE_BYTES = 128 << 20
-MOST_PARTITIONS = 20_000
 
 
 def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
@@ -67,7 +66,7 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
     Adaptive execution joins partitions that turn out small, but cannot split
     those of an aggregate that turn out large.
     """
-    wanted = min(MOST_PARTITIONS, math.ceil(input_bytes / SHUFFLE_BYTES))
+    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 

@@ -67,8 +67,11 @@ def upsert(df: DataFrame, path: str, keys: list[str], partition: str | None = No
 
     When one of the keys is the partition column, only the partitions the
     source has rows for are read and rewritten. Otherwise the merged table is
-    written in full beside the old one and then takes its place.
+    written in full beside the old one and then takes its place. Any other
+    partition column is refused: a key that moved would be in two partitions.
     """
+    if partition and partition not in keys:
+        raise ValueError(f"the partition column {partition} is not one of the keys {keys}")
     spark = df.sparkSession
     source = one_row_per_key(df, keys).select(*df.columns)
     if not path_exists(spark, path):

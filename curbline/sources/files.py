@@ -68,11 +68,15 @@ def read_raw(spark: SparkSession, paths: list[str], schema: T.StructType | None
     """Raw months as one frame; a column that some months lack is NULL in them.
 
     With a schema each month is cast to it, as types change from month to month
-    in ways one Parquet scan cannot read; columns it does not name are kept.
+    in ways one Parquet scan cannot read; months alike are one scan. Columns it
+    does not name are kept.
     """
     if not schema:
         return spark.read.option("mergeSchema", True).parquet(*paths)
-    months = [conform(spark.read.parquet(path), schema) for path in paths]
+    alike: dict[str, list[str]] = {}
+    for path in paths:
+        alike.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    months = [conform(spark.read.parquet(*same), schema) for same in alike.values()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), months)
 
 

@@ -8,6 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from curbline.operators.clean import clean_detail
 from curbline.plans.incremental import merge_into_detail
+from curbline.sources.files import read_raw
+
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def start_detail_stream(
@@ -15,22 +18,29 @@ def start_detail_stream(
 ) -> StreamingQuery:
     """Merge every file not seen before into the detail table, then stop.
 
-    A batch repeated after a failure merges to the same distinct rows. Unlike
-    the month rule, this also picks up a file delivered again under a new name.
+    The stream carries file names only; each batch reads its files as the batch
+    load does, so types may differ and undeclared columns are kept. A batch
+    repeated after a failure merges to the same distinct rows. Unlike the month
+    rule, this also picks up a file delivered again under a new name.
     """
-    raw = (
-        spark.readStream.schema(schema)
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(LISTED)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(raw_dir)
+        .load(raw_dir)
+        .select("path")
     )
 
     def merge(batch, _):
-        merge_into_detail(batch.sparkSession, clean_detail(batch), detail_path)
+        paths = sorted(row["path"] for row in batch.collect())
+        if paths:
+            raw = read_raw(batch.sparkSession, paths, schema)
+            merge_into_detail(batch.sparkSession, clean_detail(raw), detail_path)
 
     return (
-        raw.writeStream.foreachBatch(merge)
+        names.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -3,14 +3,14 @@ import random
 
 from trips import rows_of
 
-from curbline.functions.exprs import beyond_cents, cents, from_cents, round2
+from curbline.functions.exprs import beyond_cents, from_cents, round2, sum_cents
 from curbline.operators import checks, metrics
 from pyspark.sql import functions as F
 
 
 def total(df, column="x"):
     value = F.col(column)
-    return df.agg(from_cents(F.sum(cents(value)), F.sum(beyond_cents(value))).alias("t")).first()[0]
+    return df.agg(from_cents(sum_cents(value), F.sum(beyond_cents(value))).alias("t")).first()[0]
 
 
 def test_sum_of_cents_is_exact_in_any_order(spark):
@@ -22,6 +22,22 @@ def test_sum_of_cents_is_exact_in_any_order(spark):
         assert total(spark.createDataFrame(rows, "x double").repartition(7)) == exact
 
 
+def test_large_sums_are_exact_in_any_order(spark):
+    pick = random.Random(7)
+    cents_of = [pick.randrange(9 * 10**12, 10**13) * pick.choice([1, -1, 1]) for _ in range(300)]
+    rows = [(i, 1, c / 100, 0.0, 1.0) for i, c in enumerate(cents_of)]
+    schema = "PULocationID int, trip_count bigint, total_revenue double, avg_revenue double, avg_distance double"
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        found = metrics.overall_metrics(spark.createDataFrame(rows, schema).repartition(5)).first()
+        assert found["total_revenue"] == sum(cents_of) / 100
+
+
+def test_sum_beyond_bigint_cents_does_not_fail(spark):
+    many = spark.range(200_000).select(F.lit(9e13).alias("x"))
+    assert total(many) == 200_000 * 9e13
+
+
 def test_sum_keeps_finer_huge_and_special_values(spark):
     frame = lambda *values: spark.createDataFrame([(v,) for v in values], "x double")
     assert total(frame(0.125, 0.125)) == 0.25

@@ -33,10 +33,9 @@ def hot(n):
 
 
 @pytest.mark.parametrize("rows", [hot(3000), [(k, 5) for k in range(500)], [(1, 9), (2, 9), (3, 7)], [(1, None), (2, 3), (3, None)], []])
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_global_ranks(spark, rows, limit):
+def test_global_ranks(spark, rows):
     df = spark.createDataFrame(rows, "k int, n int")
-    ranked = global_ranks(df, "n", "k", single_task_rows=limit)
+    ranked = global_ranks(df, "n", "k")
     assert sorted(tuple(row) for row in ranked.collect()) == brute_force_ranks(rows)
 
 

@@ -9,7 +9,7 @@ def test_shuffles_are_raised_to_fit_and_never_lowered(spark):
         fit_shuffles(spark, 128 << 30)
         assert spark.conf.get("spark.sql.shuffle.partitions") == "1024"
         fit_shuffles(spark, 100 << 40)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "20000"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

@@ -76,6 +76,11 @@ def test_upsert_of_null_key_is_repeatable(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 2
 
 
+def test_upsert_refuses_a_partition_that_is_no_key(spark, folder):
+    with pytest.raises(ValueError, match="not one of the keys"):
+        parquet.upsert(dated(spark, [(D1, 1)]), f"{folder}/t", ["n"], "trip_date")
+
+
 def test_replace_with_nothing_empties(spark, folder):
     sink = publish.ParquetSink(folder)
     rows = spark.createDataFrame([(1,)], "k int")
