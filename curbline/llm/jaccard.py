@@ -14,7 +14,8 @@ linked in two rounds:
    FIRST_PAIRS at the most shingles are verified on the sets, and the links give first components; a large group of
    near copies mostly falls into one, at linear cost.
 2. At shingles where several components meet, the points are packed into R-tree leaves of LEAF points
-   with their coordinate maxima. Leaves, then points, are joined while the bound allows a link, leaving
+   with their coordinate maxima. The points outside the largest component of a shingle, in leaves of
+   their own, meet all leaves there: leaves, then points, are joined while the bound allows a link, leaving
    out what is in one component already; the pairs left are verified.
 
 Every link within a component either is found or cannot change the components, which are exact.
@@ -179,7 +180,7 @@ def _made_here(low1: np.ndarray, low2: np.ndarray, shingle: np.ndarray) -> np.nd
 
 
 def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows are a leaf and a later one of its shingle (or none): the pairs of points that may link.
+    """Rows are a leaf and another one of its shingle (or none): the pairs of points that may link.
 
     A pair meets at every shingle it shares; it is made at the least one in both points' lowest
     shingles, or at all where those have none in common.
@@ -272,7 +273,10 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The edges of a task as stars: every node with the least node it reaches here."""
+    """The edges of a task as stars: every node with the least node it reaches here.
+
+    Stars are given out, and a new forest begun, whenever EDGES_A_TASK nodes are held.
+    """
     above: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -281,13 +285,19 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = above[x]
         return x
 
+    def stars() -> pa.RecordBatch:
+        rows = [(x, top(x)) for x in list(above) if top(x) != x]
+        columns = list(zip(*rows)) if rows else [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, b = top(a), top(b)
             above[max(a, b)] = min(a, b)
-    stars = [(x, top(x)) for x in list(above) if top(x) != x]
-    columns = list(zip(*stars)) if stars else [[], []]
-    yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
+        if len(above) >= EDGES_A_TASK:
+            yield stars()
+            above.clear()
+    yield stars()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -298,7 +308,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = freeze(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     tasks = max(4, edges.count() // EDGES_A_TASK)
-    stars = freeze(edges.repartition(tasks, "a").mapInArrow(_forest, "a long, b long"))
+    stars = freeze(edges.coalesce(tasks).mapInArrow(_forest, "a long, b long"))
     before = None
     while True:
         both = stars.union(stars.select("b", "a"))
@@ -313,6 +323,19 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def packed(points: DataFrame) -> DataFrame:
+    """Points (shingle, main, listed, p) in leaves of LEAF, by size within their shingle."""
+    by_size = Window.partitionBy("shingle").orderBy("p.n", "p.cid")
+    leaf = F.floor((F.row_number().over(by_size) - 1) / LEAF)
+    return points.withColumn("leaf", leaf).groupBy("shingle", "leaf").agg(
+        F.collect_list("p").alias("points"),
+        F.min("p.n").alias("n_least"),
+        F.max("p.n").alias("n_most"),
+        F.first("main").alias("main"),
+        F.first("listed").alias("listed"),
+    )
+
+
 def near_duplicates(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -360,31 +383,25 @@ def near_duplicates(
     joined = freeze(components(links))
 
     with_comp = shared.join(joined, "cid", "left").select("shingle", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
-    mixed = with_comp.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-    leaf = F.floor((F.row_number().over(by_size) - 1) / LEAF).alias("leaf")
-    listed = F.count("*").over(Window.partitionBy("shingle")).alias("listed")
-    in_lists = with_comp.join(mixed.select("shingle"), "shingle", "left_semi").select("*", leaf, listed)
+    of_list = with_comp.groupBy("shingle", "comp").agg(F.count("*").alias("k")).groupBy("shingle").agg(
+        F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("listed"), F.count("*").alias("comps")
+    )
+    in_lists = with_comp.join(of_list.where("comps > 1").drop("comps"), "shingle")
     lowest = F.sort_array(F.collect_list("shingle"))
     lowest = in_lists.groupBy("cid").agg(F.slice(lowest, 1, LOWEST).alias("lowest"))
     lowest = lowest.select("cid", *[F.get("lowest", F.lit(k)).alias(f"low{k}") for k in range(LOWEST)])
     in_lists = in_lists.join(classes.select("cid", "point").join(lowest, "cid"), "cid")
-    low = [f"low{k}" for k in range(LOWEST)]
-    leaves = in_lists.groupBy("shingle", "leaf").agg(
-        F.collect_list(F.struct("n", "cid", "comp", "point", *low)).alias("points"),
-        F.min("n").alias("n_least"),
-        F.max("n").alias("n_most"),
-        F.min("comp").alias("comp_least"),
-        F.max("comp").alias("comp_most"),
-        F.first("listed").alias("listed"),
-    )
-    leaves = freeze(leaves)
-    alone = leaves.where("comp_least < comp_most").select("shingle", F.col("points").alias("left"), F.expr("filter(points, x -> false)").alias("right"))
-    several = leaves.where(F.col("listed") > LEAF)
-    ahead = several.select("shingle", *[F.col(c).alias(f"r_{c}") for c in leaves.columns[1:]])
-    across = several.join(ahead, "shingle").where(
-        "leaf < r_leaf and n_most * 4 >= r_n_least * 3 and (comp_least < comp_most or r_comp_least < r_comp_most or comp_least <> r_comp_least)"
-    )
-    across = across.select("shingle", F.col("points").alias("left"), F.col("r_points").alias("right"))
+    point = F.struct("n", "cid", "comp", "point", *[f"low{k}" for k in range(LOWEST)]).alias("p")
+    leaves = freeze(packed(in_lists.select("shingle", "main", "listed", point)))
+
+    # a pair of two components has an end outside the main component of its list: those ends meet the whole list
+    alone = leaves.where(F.col("listed") <= LEAF)
+    alone = alone.select("shingle", F.col("points").alias("left"), F.expr("filter(points, x -> false)").alias("right"))
+    long_lists = leaves.where(F.col("listed") > LEAF)
+    outside = packed(long_lists.select("shingle", "main", "listed", F.explode("points").alias("p")).where("p.comp <> main"))
+    whole = long_lists.select("shingle", F.col("points").alias("right"), F.col("n_least").alias("r_least"), F.col("n_most").alias("r_most"))
+    across = outside.join(whole, "shingle").where("n_most * 4 >= r_least * 3 and r_most * 4 >= n_least * 3")
+    across = across.select("shingle", F.col("points").alias("left"), "right")
     more = freeze(alone.unionByName(across).mapInArrow(_leaf_pairs, "a long, b long").distinct())
     more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = freeze(may_link(more.withColumn("times", F.lit(1).cast("long")), classes).select("a", "b"))
