@@ -64,6 +64,24 @@ def test_same_as_dictionaries(spark):
         assert abs(r["score"] - 1 / sum(math.exp(x - top) for x in total.values())) < 1e-9
 
 
+def test_rare_entries_count_as_much(spark):
+    train = [("the cat sat on the mat", "en")] * 300 + [("die katze saß dort auf der matte", "de"), ("le chat était là", "fr")]
+    texts = ["the matte", "katzen matte auf", "ça était", "zzz", "Das SATTE Haus", "le chat et le cat", "été", None, "7", "the"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for vocabulary in (1, 8, 64):
+        model = la.learn(spark.createDataFrame(train, "text string, lang string"), vocabulary=vocabulary)
+        rows = la.identify(df, model).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            if r["doc_id"] in (7, 8):
+                assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+                continue
+            total = plain_score(train, texts[r["doc_id"]])
+            top = max(total.values())
+            assert total[r["lang_pred"]] > top - 1e-9
+            assert abs(r["score"] - 1 / sum(math.exp(x - top) for x in total.values())) < 1e-9
+
+
 def test_odd_rows(odd, empty):
     model = la.learn(odd)
     rows = {r["doc_id"]: r for r in la.identify(odd.withColumn("score", F.lit(1)), model).collect()}
