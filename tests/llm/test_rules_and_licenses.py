@@ -60,6 +60,21 @@ def test_lines_sentences_and_texts(documents):
     assert result[3] == result[4] == set()
 
 
+def test_wrapped_notices_inside_texts(documents):
+    before, after = "\n".join([GOOD] * 2), "\n".join([GOOD.upper()] * 3)
+
+    def wrapped(text):
+        words = text.split()
+        return "\n".join(" * " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+
+    full = dict(li.FULL_TEXTS)
+    inside = [li.TEMPLATES[3][1], li.TEMPLATES[8][1], li.TEMPLATES[19][1], full["MIT"], full["GPL-3.0"]]
+    result = found(documents(*[f"{before}\n{wrapped(x)}\n{after}" for x in inside], full["Apache-2.0"], before))
+    for i, name in enumerate(["MIT", "GPL-3.0", "BSD", "MIT", "GPL-3.0", "Apache-2.0"]):
+        assert ("window", name) in result[i], (i, result[i])
+    assert result[6] == set()
+
+
 def test_scan_of_odd_rows(odd, empty):
     assert len(li.scan(odd.withColumn("matches", F.lit(1))).collect()) == odd.count()
     assert li.scan(empty).collect() == []
