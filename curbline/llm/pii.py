@@ -3,7 +3,8 @@
 Patterns give the base spans. Every token with a digit or an @ is a variable whose label is a kind or
 "outside"; all other tokens are observed as outside. Neighbouring variables share a transition
 potential, and so do a variable and the previous one in the document that repeats it or resembles it
-(same closing digits, or same letters), however far away: the skip edges. The potentials are log odds
+(same closing digits, or same letters), however far away: the skip edges. A number written as short groups
+of digits with blanks between is one variable. The potentials are log odds
 counted over all documents, with the base spans as labels. Loopy sum-product message passing gives the
 beliefs; the base labels stay observed, and a run of other tokens believed to be of one kind, and tied
 by a skip edge to a token of that kind, becomes a further span.
@@ -12,6 +13,8 @@ by a skip edge to a token of that kind, becomes a further span.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ LEAST_BELIEF = 0.9
 LEAST_DIGITS = 6
 LEAST_LETTERS = 6
 SHAPES = 1 << 12
+#: the digits of the longest card number
+MOST_DIGITS = 19
 #: how often each label has met itself on a skip edge before anything is counted
 SAME_BEFORE = 20
 
@@ -39,6 +44,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*")
+_GROUP = re.compile(r"\(?[0-9]{1,%d}\)?" % (LEAST_DIGITS - 1))
 _EDGE = ".,;:!?'\"()[]{}<>"
 _MARKED = tb.byte_class((0x30, 0x39), (0x40, 0x40))
 
@@ -83,6 +89,70 @@ def _shape(token: str) -> int:
     return code % SHAPES
 
 
+def _digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
+
+def _tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of the tokens with a digit or an @; groups of digits that make up one number are one token.
+
+    Groups inside one base span are. Other short groups, with blanks between, are if they have at most
+    MOST_DIGITS digits, but for those that end like another number of the text, which are cut out.
+    """
+    spans = [match.span() for match in _TOKEN.finditer(text)]
+    if not any(" " in text[start:end] for _, start, end in base) and len(spans) < 2:
+        return spans
+    starts = [start for start, _ in spans]
+    owner: dict[int, int] = {}
+    for number, (_, start, end) in enumerate(base):
+        for i in range(max(0, bisect_right(starts, start) - 1), bisect_left(starts, end)):
+            if spans[i][1] > start:
+                owner.setdefault(i, number)
+    runs: list[list[int]] = []
+    for i, (start, end) in enumerate(spans):
+        if runs:
+            last = runs[-1][-1]
+            raw, before = text[start:end], text[spans[last][0] : spans[last][1]]
+            near = not text[spans[last][1] : start].strip(" ")
+            if last in owner or i in owner:
+                joined = near and owner.get(last) == owner.get(i) and before[-1] not in ",;:"
+            else:
+                joined = near and _GROUP.fullmatch(before.lstrip(_EDGE)) and _GROUP.fullmatch(raw.rstrip(_EDGE))
+            if joined:
+                runs[-1].append(i)
+                continue
+        runs.append([i])
+    # how many numbers of the text end with the same digits
+    whole = [_digits(text[spans[run[0]][0] : spans[run[-1]][1]]) for run in runs]
+    ending = Counter(d[-7:] for d in whole if LEAST_DIGITS <= len(d) <= MOST_DIGITS)
+    numbers = {d for d in whole if LEAST_DIGITS <= len(d) <= MOST_DIGITS}
+    suffixes = Counter(d[at:] for d in numbers for at in range(len(d) - LEAST_DIGITS + 1))
+    found: list[tuple[int, int]] = []
+    for run, digits in zip(runs, whole):
+        if len(run) == 1 or run[0] in owner or len(digits) <= MOST_DIGITS and ending[digits[-7:]] > 1:
+            found.append((spans[run[0]][0], spans[run[-1]][1]))
+            continue
+        parts = [_digits(text[spans[i][0] : spans[i][1]]) for i in run]
+        pieces: list[list[int]] = []
+        open_from = 0
+        for stop in range(1, len(run) + 1):
+            best, joined, first = None, "", stop
+            while first > open_from and len(joined) + len(parts[first - 1]) <= MOST_DIGITS:
+                first -= 1
+                joined = parts[first] + joined
+                if suffixes[joined] > (digits in numbers and digits.endswith(joined)):
+                    best = first
+            if best is not None:
+                pieces += [list(range(open_from, best)), list(range(best, stop))]
+                open_from = stop
+        pieces.append(list(range(open_from, len(run))))
+        for piece in filter(None, pieces):
+            few = sum(len(parts[i]) for i in piece) <= MOST_DIGITS
+            for part in [piece] if few else [[i] for i in piece]:
+                found.append((spans[run[part[0]]][0], spans[run[part[-1]]][1]))
+    return found
+
+
 class Graph:
     """The variables of one text: spans, base labels, shapes and edges."""
 
@@ -93,19 +163,19 @@ class Graph:
         self.skip: list[tuple[int, int]] = []
         latest: dict[str, int] = {}
         after = -1
-        for match in _TOKEN.finditer(text):
-            raw = match.group()
+        for begin, stop in _tokens(text, base):
+            raw = text[begin:stop]
             core = raw.strip(_EDGE)
             if not core:
                 continue
-            start = match.start() + len(raw) - len(raw.lstrip(_EDGE))
+            start = begin + len(raw) - len(raw.lstrip(_EDGE))
             i = len(self.spans)
             self.spans.append((start, start + len(core)))
             self.shapes.append(_shape(raw))
-            if i and text[after : match.start()].isspace():
+            if i and text[after:begin].isspace():
                 self.chain.append((i - 1, i))
-            after = match.end()
-            digits = "".join(c for c in core if "0" <= c <= "9")
+            after = stop
+            digits = _digits(core)
             letters = "".join(c for c in core.lower() if c.isalpha() or c == "@")
             likes = [f"t{core.lower()}"] if len(core) >= LEAST_DIGITS else []
             if len(digits) >= LEAST_DIGITS:

@@ -74,6 +74,23 @@ def test_repeats_of_personal_data_are_found(spark):
     assert found[2] == []
 
 
+def test_grouped_numbers_share_edges(spark):
+    texts = [
+        "Reach me at +49 170 234 5678 today. Again: 170 234 5678, thanks; or 1702345678.",
+        "Card 4111 1111 1111 1111 is mine, yes 4111111111111111 it is, or 1111 1111 of it.",
+        "Ring +49 170 234 5678 now; it is 170 234 5678 2024 12 in the list.",
+    ]
+    for text, ends in zip(texts, (3, 2, 2)):
+        graph = pii.Graph(text, pii.base_spans(text))
+        tied = {i for edge in graph.skip for i in edge}
+        assert len(tied) >= ends, text
+    alone = "It is 170 234 5678 here."
+    assert [alone[a:b] for a, b in pii.Graph(alone, []).spans] == ["170 234 5678"]
+    found = spans(spark, texts[0])
+    assert "1702345678" in found[0]
+    assert "170 234 5678" in found[0]
+
+
 def test_odd_rows(odd, empty, documents):
     field = pii.learn(odd)
     assert len(pii.find(odd.withColumn("base", F.lit(1)), field).collect()) == odd.count()
