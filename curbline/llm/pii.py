@@ -3,7 +3,7 @@
 Patterns give the base spans. Every token with a digit or an @ is a variable whose label is a kind or
 "outside"; all other tokens are observed as outside. Neighbouring variables share a transition
 potential, and so do a variable and the previous one in the document that repeats it or resembles it
-(same closing digits, or same letters), however far away: the skip edges. A number written as short groups
+(same closing digits, or same letters), however far away, and the first such one: the skip edges. A number written as short groups
 of digits with blanks between is one variable. The potentials are log odds
 counted over all documents, with the base spans as labels. Loopy sum-product message passing gives the
 beliefs; the base labels stay observed, and a run of other tokens believed to be of one kind, and tied
@@ -27,7 +27,9 @@ from curbline.llm import textbytes as tb
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
 LABELS = OUTSIDE + 1
-ROUNDS = 10
+#: messages are passed until none changes by SETTLED; a field that never settles is stopped after ROUNDS
+ROUNDS = 1000
+SETTLED = 1e-4
 LEAST_BELIEF = 0.9
 LEAST_DIGITS = 6
 LEAST_LETTERS = 6
@@ -161,6 +163,7 @@ class Graph:
         self.shapes: list[int] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        earliest: dict[str, int] = {}
         latest: dict[str, int] = {}
         after = -1
         for begin, stop in _tokens(text, base):
@@ -182,8 +185,10 @@ class Graph:
                 likes.append(f"d{digits[-7:]}")
             if len(letters) >= LEAST_LETTERS:
                 likes.append(f"l{letters}")
-            for j in sorted({latest[like] for like in likes if like in latest}):
+            for j in sorted({seen[like] for like in likes for seen in (earliest, latest) if like in seen}):
                 self.skip.append((j, i))
+            for like in likes:
+                earliest.setdefault(like, i)
             latest.update(dict.fromkeys(likes, i))
         self.labels = np.full(len(self.spans), OUTSIDE)
         starts = np.array([s for s, _ in self.spans], dtype=np.int64)
@@ -240,7 +245,10 @@ class Field:
                 out = np.exp(out - out.max(axis=1, keepdims=True))
                 new = np.log(np.einsum("el,elm->em", out, pair) + 1e-300)
                 new -= new.max(axis=1, keepdims=True)
+                change = np.abs(new - sent).max()
                 sent = 0.5 * sent + 0.5 * new
+                if change < SETTLED:
+                    break
             np.add.at(unary, target, sent)
         belief = np.exp(unary - unary.max(axis=1, keepdims=True))
         return belief / belief.sum(axis=1, keepdims=True)

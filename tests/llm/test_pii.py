@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from curbline.llm import pii, queries
@@ -91,6 +92,18 @@ def test_grouped_numbers_share_edges(spark):
     assert "170 234 5678" in found[0]
 
 
+def test_evidence_reaches_every_repeat(spark):
+    text = "Reach me at +49 170 2345678 today. " + "Then call 1702345678 or so. " * 60
+    filler = [f"call +1 (555) 555-{i:04d} or mail user{i}@mail.example.com in room 4{i}" for i in range(1000, 1040)]
+    field = pii.learn(spark.createDataFrame([(x,) for x in filler], "text string"))
+    found = field.more_spans(text, pii.base_spans(text))
+    assert [text[a:b] for _, a, b in found] == ["1702345678"] * 60
+    graph = pii.Graph(text, pii.base_spans(text))
+    base = np.flatnonzero(graph.labels != pii.OUTSIDE)
+    near = {i for edge in graph.skip for i in edge if set(edge) & set(base.tolist())}
+    assert near >= set(range(len(graph.spans)))
+
+
 def test_odd_rows(odd, empty, documents):
     field = pii.learn(odd)
     assert len(pii.find(odd.withColumn("base", F.lit(1)), field).collect()) == odd.count()
