@@ -98,40 +98,37 @@ def _digits(text: str) -> str:
 def _tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Spans of the tokens with a digit or an @; groups of digits that make up one number are one token.
 
-    Groups inside one base span are. Other short groups, with blanks between, are if they have at most
-    MOST_DIGITS digits, but for those that end like another number of the text, which are cut out.
+    Short groups outside the base spans, with blanks between, do if they have at most MOST_DIGITS digits,
+    but for those that end like another number of the text, which are cut out.
     """
     spans = [match.span() for match in _TOKEN.finditer(text)]
-    if not any(" " in text[start:end] for _, start, end in base) and len(spans) < 2:
-        return spans
     starts = [start for start, _ in spans]
-    owner: dict[int, int] = {}
-    for number, (_, start, end) in enumerate(base):
-        for i in range(max(0, bisect_right(starts, start) - 1), bisect_left(starts, end)):
-            if spans[i][1] > start:
-                owner.setdefault(i, number)
+    owned = {
+        i
+        for _, start, end in base
+        for i in range(max(0, bisect_right(starts, start) - 1), bisect_left(starts, end))
+        if spans[i][1] > start
+    }
     runs: list[list[int]] = []
     for i, (start, end) in enumerate(spans):
         if runs:
             last = runs[-1][-1]
-            raw, before = text[start:end], text[spans[last][0] : spans[last][1]]
-            near = not text[spans[last][1] : start].strip(" ")
-            if last in owner or i in owner:
-                joined = near and owner.get(last) == owner.get(i) and before[-1] not in ",;:"
-            else:
-                joined = near and _GROUP.fullmatch(before.lstrip(_EDGE)) and _GROUP.fullmatch(raw.rstrip(_EDGE))
+            before = text[spans[last][0] : spans[last][1]]
+            joined = not text[spans[last][1] : start].strip(" ") and not owned & {last, i}
+            joined = joined and _GROUP.fullmatch(before.lstrip(_EDGE)) and _GROUP.fullmatch(text[start:end].rstrip(_EDGE))
             if joined:
                 runs[-1].append(i)
                 continue
         runs.append([i])
     # how many numbers of the text end with the same digits
     whole = [_digits(text[spans[run[0]][0] : spans[run[-1]][1]]) for run in runs]
-    ending = Counter(d[-7:] for d in whole if LEAST_DIGITS <= len(d) <= MOST_DIGITS)
-    numbers = {d for d in whole if LEAST_DIGITS <= len(d) <= MOST_DIGITS}
+    given = [d for run, d in zip(runs, whole) if run[0] not in owned and LEAST_DIGITS <= len(d) <= MOST_DIGITS]
+    given += [_digits(text[start:end]) for kind, start, end in base if KINDS[kind] in ("card", "phone")]
+    ending, numbers = Counter(d[-7:] for d in given), set(given)
     suffixes = Counter(d[at:] for d in numbers for at in range(len(d) - LEAST_DIGITS + 1))
     found: list[tuple[int, int]] = []
     for run, digits in zip(runs, whole):
-        if len(run) == 1 or run[0] in owner or len(digits) <= MOST_DIGITS and ending[digits[-7:]] > 1:
+        if len(run) == 1 or run[0] in owned or len(digits) <= MOST_DIGITS and ending[digits[-7:]] > 1:
             found.append((spans[run[0]][0], spans[run[-1]][1]))
             continue
         parts = [_digits(text[spans[i][0] : spans[i][1]]) for i in run]
@@ -166,6 +163,8 @@ class Graph:
         earliest: dict[str, int] = {}
         latest: dict[str, int] = {}
         after = -1
+        # the last token of a number's base span resembles others by all digits of the span
+        closing = sorted((end, start) for kind, start, end in base if KINDS[kind] in ("card", "phone"))
         for begin, stop in _tokens(text, base):
             raw = text[begin:stop]
             core = raw.strip(_EDGE)
@@ -179,6 +178,9 @@ class Graph:
                 self.chain.append((i - 1, i))
             after = stop
             digits = _digits(core)
+            ended = bisect_right(closing, (begin, len(text)))
+            if ended < len(closing) and closing[ended][0] <= stop:
+                digits = _digits(text[closing[ended][1] : closing[ended][0]])
             letters = "".join(c for c in core.lower() if c.isalpha() or c == "@")
             likes = [f"t{core.lower()}"] if len(core) >= LEAST_DIGITS else []
             if len(digits) >= LEAST_DIGITS:
@@ -255,7 +257,7 @@ class Field:
 
     def more_spans(self, text: str, base: list[tuple[int, int, int]], least: float = LEAST_BELIEF) -> list[tuple[int, int, int]]:
         graph = Graph(text, base)
-        if not graph.skip or not base:
+        if not graph.skip:
             return []
         belief = self.beliefs(graph)
         best = belief.argmax(axis=1)

@@ -101,7 +101,17 @@ def test_evidence_reaches_every_repeat(spark):
     graph = pii.Graph(text, pii.base_spans(text))
     base = np.flatnonzero(graph.labels != pii.OUTSIDE)
     near = {i for edge in graph.skip for i in edge if set(edge) & set(base.tolist())}
-    assert near >= set(range(len(graph.spans)))
+    assert near >= set(range(2, len(graph.spans)))
+
+
+def test_no_base_span_is_needed(spark):
+    filler = [f"call +1 (555) 555-{i:04d} or mail user{i}@mail.example.com in room 4{i}" for i in range(1000, 1040)]
+    field = pii.learn(spark.createDataFrame([(x,) for x in filler], "text string"))
+    text = "Call 555-1000 now, and call 555-1000 later. "
+    found = [text[a:b] for _, a, b in field.more_spans(text, [])]
+    assert found == ["555-1000"] * 2
+    mailed = text + "Or mail jane@mail.example.com."
+    assert field.more_spans(mailed, pii.base_spans(mailed)) == field.more_spans(text, [])
 
 
 def test_odd_rows(odd, empty, documents):
