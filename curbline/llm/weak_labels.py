@@ -204,7 +204,8 @@ def learn_scorer(df: DataFrame, labels: Labels, text: str = "text", rows: int =
             )
 
     worded = df.select(F.col(f"`{text}`").cast("string").alias("text")).where("length(text) > 0")
-    share = min(1.0, rows / max(1, worded.count()))
+    distinct = worded.select(F.xxhash64("text")).distinct().count()
+    share = min(1.0, rows / max(1, distinct))
     # a text's copies go together, so one copy of each is enough
     sample = worded.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
     got = sample.mapInArrow(work, "slot array<int>, value array<float>, label double").toArrow()

@@ -45,6 +45,14 @@ def test_good_rows_keep_every_column(spark):
     assert rows.schema == docs.schema and {r["doc_id"] for r in rows.collect()} == kept
 
 
+def test_copies_do_not_thin_the_training_texts(documents, monkeypatch):
+    texts = [f"Text number {i} has some words of its own." for i in range(500)]
+    df = documents(*texts, *texts[:5] * 900)
+    labels = wl.learn_labels(df)
+    monkeypatch.setattr(wl, "Scorer", lambda text_of, slot, value, label: len(label))
+    assert 140 <= wl.learn_scorer(df, labels, rows=200) <= 260
+
+
 def test_odd_rows(odd, empty):
     labels = wl.learn_labels(odd)
     scorer = wl.learn_scorer(odd, labels)
