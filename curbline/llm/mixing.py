@@ -127,13 +127,13 @@ def mixed_rows(df: DataFrame, weights: Sequence[float] = WEIGHTS, most_epochs: i
 
     The row at a source's cut ends after its taken words; all other texts are whole.
     """
-    names = [F.col(f"`{name}`") for name in df.columns]
-    sized = df.withColumn("size", word_count("text")) if "size" not in df.columns else df
-    if "size" in df.columns:
-        raise ValueError("rename the column size")
+    # other columns are held under reserved names, so that none is taken for one that the mix adds
+    held = {name: f"__own{i}" for i, name in enumerate(df.columns) if name not in ("doc_id", "source", "text")}
+    sized = df.select(*[F.col(f"`{name}`").alias(held.get(name, name)) for name in df.columns])
+    sized = sized.withColumn("size", word_count("text"))
     mixed = mix(sized, weights, most_epochs)
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     start = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), "")
     whole = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     cut = mixed.where("part > 0").withColumn("text", start).withColumn("__copy", F.lit(0))
-    return whole.unionByName(cut).select(*names)
+    return whole.unionByName(cut).select(*[F.col(held.get(name, name)).alias(name) for name in df.columns])

@@ -58,3 +58,13 @@ def test_odd_rows(spark, odd, empty, folder_of, name, stage):
     rows = stage(spark, odd.withColumn("size_", F.lit(1)), folder)
     assert rows.count() <= 3 * odd.count()
     assert stage(spark, empty, folder).count() == 0
+
+
+def test_mixture_passes_clashing_columns(spark, odd):
+    added = ("size", "source_size", "target", "copies", "part", "taken")
+    docs = odd.withColumns({name: F.lit(f"own {name}") for name in added})
+    rows = cp.mixture(spark, docs, SF_DIR)
+    assert rows.columns == docs.columns
+    found = rows.collect()
+    assert found and all(r[name] == f"own {name}" for r in found for name in added)
+    assert Counter(r["text"] for r in found) == Counter(r["text"] for r in cp.mixture(spark, odd, SF_DIR).collect())
