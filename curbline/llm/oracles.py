@@ -172,10 +172,124 @@ from texts join shingles s using (row) left join classes c on c.own = s.own left
 """
 
 
+PIVOT_SEARCH = r"""
+with vectors as (
+  select row_number() over () as row, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint::double) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+), scored as (
+  select q.row as query, q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from vectors q join vectors c on q.row <> c.row
+  where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query order by score desc, vec_id nulls last) as place from scored
+)
+select query_id, place::int as rank, vec_id, score from ranked where place <= 5
+"""
+
+INFILLING = r"""
+with lines as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+         sha256('7:' || coalesce(doc_id::varchar, '')) as digest
+  from documents
+), drawn as (
+  select doc_id, text, units, len(units) as n,
+         ('0x' || digest[1:8])::bigint % (len(units) + 1) as cut1, ('0x' || digest[9:16])::bigint % (len(units) + 1) as cut2,
+         ('0x' || digest[17:24])::bigint as h3, ('0x' || digest[25:32])::bigint as h4
+  from lines
+), parts as (
+  select doc_id, text, n,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100
+              then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form,
+         array_to_string(units[1:least(cut1, cut2)], '') as prefix,
+         array_to_string(units[least(cut1, cut2) + 1:greatest(cut1, cut2)], '') as middle,
+         array_to_string(units[greatest(cut1, cut2) + 1:], '') as suffix
+  from drawn
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text
+                        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(case form when 'plain' then text else prefix || middle || suffix end) as restored_sha256
+from parts
+"""
+
+MANIFEST = r"""
+with recursive leaves as (
+  select row_number() over () as row, doc_id, lang,
+         [coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-'),
+          coalesce(strlen(text) || ':' || text, '-')] as fields,
+         coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') as lowered
+  from documents
+), bits as (
+  -- crc32 by its definition, byte by byte over the decimal id
+  select doc_id, 1 as i, 4294967295::ubigint as crc, 0 as step from (select distinct doc_id from documents where doc_id is not null)
+  union all
+  select doc_id, case when step = 8 then i + 1 else i end,
+         case when step = 0 then xor(crc, ascii((doc_id::varchar)[i])::ubigint)
+              when crc & 1 = 1 then xor(crc >> 1, 3988292384::ubigint) else crc >> 1 end,
+         case when step = 8 then 0 else step + 1 end
+  from bits where i <= length(doc_id::varchar)
+), hit as (
+  select doc_id from bits where i > length(doc_id::varchar) and xor(crc, 4294967295::ubigint) % 3 = 0
+), hashed as (
+  select l.row, l.doc_id, l.lang, sha256(array_to_string(l.fields, '')) as leaf,
+         case when h.doc_id is not null then sha256(array_to_string(l.fields[1:4], '') || l.lowered)
+              else sha256(array_to_string(l.fields, '')) end as changed
+  from leaves l left join hit h on l.doc_id = h.doc_id
+), placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+         dense_rank() over (order by lang nulls first) - 1 as tree
+  from hashed
+), nodes as (
+  select tree, 0 as level, pos, leaf as digest from placed
+  union all
+  select tree, level + 1, pos // 8, sha256(string_agg(digest, '' order by pos))
+  from (select *, count(*) over (partition by tree) as n from nodes) where n > 1 group by tree, level, pos // 8
+), subroots as (
+  select tree, arg_max(digest, level) as subroot, max(level) as height from nodes group by tree
+), upper as (
+  select 0 as level, tree as pos, subroot as digest from subroots
+  union all
+  select level + 1, pos // 8, sha256(string_agg(digest, '' order by pos))
+  from (select *, count(*) over () as n from upper) where n > 1 group by level, pos // 8
+), top as (
+  select arg_max(digest, level) as root, max(level) as height from upper
+), every as (
+  select n.tree, n.level, n.pos, n.digest from nodes n join subroots s on s.tree = n.tree and n.level < s.height
+  union all
+  -- the levels from the subroots up stand above each tree's own
+  select s.tree, s.height + u.level, u.pos, u.digest from subroots s, upper u
+), fold as (
+  select row, tree, 0 as level, pos, changed as digest, '' as proof from placed
+  union all
+  select f.row, f.tree, f.level + 1, f.slot // 8,
+         sha256(string_agg(case when e.pos = f.slot then f.digest else e.digest end, '' order by e.pos)),
+         any_value(f.proof) || coalesce(string_agg(e.digest, '' order by e.pos) filter (where e.pos <> f.slot), '')
+  from (select fold.*, case when fold.level = s.height then fold.tree else fold.pos end as slot,
+               s.height + t.height as most
+        from fold join subroots s using (tree), top t) f
+  join every e on e.tree = f.tree and e.level = f.level and e.pos // 8 = f.slot // 8
+  where f.level < f.most
+  group by f.row, f.tree, f.level, f.slot
+)
+select p.doc_id, p.leaf, s.subroot, t.root, sha256(f.proof) as proof_sha256, f.digest as folded_root, f.digest = t.root as verified
+from placed p join subroots s using (tree) join fold f using (row), top t
+where f.level = s.height + t.height
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": DECONTAMINATION,
     "op2_licenses": licenses(),
     "op8_mixing": MIXING,
     "op9_quality_rules": QUALITY_RULES,
     "op10_jaccard": JACCARD,
+    "op11_pivot_search": PIVOT_SEARCH,
+    "op12_infilling": INFILLING,
+    "op13_manifest": MANIFEST,
 }

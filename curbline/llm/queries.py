@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontamination, jaccard, language, licenses, mixing, pii, quality_rules, repeats, sharding, weak_labels
+from curbline.llm import (
+    decontamination,
+    infilling,
+    jaccard,
+    language,
+    licenses,
+    merkle,
+    mixing,
+    pii,
+    pivots,
+    quality_rules,
+    repeats,
+    sharding,
+    weak_labels,
+)
 from curbline.session import freeze
 
 
@@ -114,6 +130,41 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infilling.infill(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restore(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    # a null id is not tampered with
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    leaf = merkle.leaf_hash([*fields, "text"])
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        leaf.alias("leaf"),
+        F.when(hit, merkle.leaf_hash([*fields, lowered])).otherwise(leaf).alias("changed"),
+    )
+    found = merkle.fold(merkle.build(leaves, "leaf", "lang", "doc_id"), "changed")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
@@ -125,4 +176,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard": op10_jaccard,
+    "op11_pivot_search": op11_pivot_search,
+    "op12_infilling": op12_infilling,
+    "op13_manifest": op13_manifest,
 }
