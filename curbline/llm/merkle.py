@@ -247,13 +247,14 @@ def _fall(rounds: list[DataFrame], above: DataFrame, arity: int, levels: int) ->
 
 @dataclass
 class Manifest:
-    """A tree over the rows of `leaves`, which has the columns it was built from.
+    """A tree over the rows of `leaves`, which holds the columns it was built from under the names in `held`.
 
     `above` has the runs above each chunk of leaves and `subroots` one row a group; `root` is None where there
     are no rows.
     """
 
     leaves: DataFrame
+    held: dict[str, str]
     above: DataFrame
     subroots: DataFrame
     root: str | None
@@ -270,9 +271,11 @@ def build(
     first, and rows equal in it are ordered by digest, so that the tree depends on the rows only. Repeated
     rows are leaves of their own.
     """
+    held = {name: f"__own{i}" for i, name in enumerate(df.columns)}
     key = F.coalesce(F.concat(F.lit("+"), F.col(f"`{group}`").cast("string")), F.lit(""))
-    digests = freeze(df.withColumn(_GROUP, key).withColumn(_DIGEST, F.col(f"`{leaf}`")))
-    leaves = freeze(numbered(digests, [order, _DIGEST], arity, levels))
+    own = [F.col(f"`{name}`").alias(reserved) for name, reserved in held.items()]
+    digests = freeze(df.select(*own, key.alias(_GROUP), F.col(f"`{leaf}`").alias(_DIGEST)))
+    leaves = freeze(numbered(digests, [held[order], _DIGEST], arity, levels))
     rounds = _rise(leaves, arity, levels)
     subroots = rounds[-1].select(F.col(_GROUP).alias("group"), F.col(_DIGEST).alias("subroot"))
     tops = subroots.select(F.lit(_ROOT_GROUP).alias(_GROUP), "group", F.col("subroot").alias(_DIGEST))
@@ -291,7 +294,7 @@ def build(
     above = above.select(F.col("__of").alias(_GROUP), F.lit(0).cast("long").alias(_POS), F.col(_DIGEST).alias("subroot"), "path")
     if len(rounds) > 1:
         above = _fall(rounds, above, arity, levels)
-    return Manifest(leaves, above, subroots, root, arity, levels)
+    return Manifest(leaves, held, above, subroots, root, arity, levels)
 
 
 def fold(manifest: Manifest, replaced: str) -> DataFrame:
@@ -301,12 +304,16 @@ def fold(manifest: Manifest, replaced: str) -> DataFrame:
     (what the root is with this row's digest replaced) and verified (whether it is the root). Columns of the
     manifest with these names are replaced.
     """
-    columns = manifest.leaves.columns
-    given = [F.col(f"`{name}`") for name in columns if name not in (*_OWN, *ADDED)]
+    kept = {name: reserved for name, reserved in manifest.held.items() if name not in ADDED}
     own = [_GROUP, _POS, _CHUNK, _COUNT, _DIGEST]
-    nodes = manifest.leaves.select(*given, *own, F.col(f"`{replaced}`").alias(_REPLACED))
+    nodes = manifest.leaves.select(*kept.values(), *own, F.col(manifest.held[replaced]).alias(_REPLACED))
     added = [T.StructField(name, T.StringType()) for name in FOLDED]
-    schema = T.StructType([*manifest.leaves.select(*given).schema.fields, *added])
+    schema = T.StructType([*manifest.leaves.select(*kept.values()).schema.fields, *added])
     rows = _cogrouped(nodes, manifest.above, _verify(manifest.arity, manifest.levels), schema)
     root = F.lit(manifest.root).cast("string")
-    return rows.withColumns({"root": root, "verified": F.col("folded_root") == root})
+    return rows.select(
+        *[F.col(reserved).alias(name) for name, reserved in kept.items()],
+        *FOLDED,
+        root.alias("root"),
+        (F.col("folded_root") == root).alias("verified"),
+    )
