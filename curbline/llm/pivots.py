@@ -356,10 +356,14 @@ def top_k(
         return spark.createDataFrame([], shape)
     placed = queries.repartitionByRange(-(-number // most), *order).withColumn("part", F.spark_partition_id())
     in_part = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    placed = freeze(placed.withColumn("piece", F.floor(in_part / most)))
+    placed = freeze(placed.withColumn("place", in_part))
+    # one row a part: what the parts before it hold
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = placed.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead"))
+    placed = freeze(placed.join(ahead, "part").withColumn("chunk", F.floor((F.col("ahead") + F.col("place")) / most)))
     found = scratch_path(spark, "found")
-    for part, piece in sorted(placed.select("part", "piece").distinct().collect()):
-        chunk = placed.where((F.col("part") == part) & (F.col("piece") == piece)).select("number", _ID, _VECTOR).toArrow()
+    for i in range(-(-number // most)):
+        chunk = placed.where(F.col("chunk") == i).select("number", _ID, _VECTOR).toArrow()
         # one more than wanted, as a query's own row may be among them
         _pass(spark, index, space, sample, chunk, k + 1).write.mode("append").parquet(found)
 
