@@ -492,8 +492,9 @@ def stale_dates(spark, sf_dir):
     incremental.merge_into_detail(spark, clean.clean_detail(first), f"{root}/detail")
     incremental.refresh_daily(spark, f"{root}/detail", f"{root}/daily")
     incremental.merge_into_detail(spark, clean.clean_detail(second), f"{root}/detail")
-    listings = [files.partition_files(files.list_files(spark, f"{root}/{name}")) for name in ("detail", "daily")]
-    return incremental.stale_dates(*listings).select(C.DATE_KEY, "action")
+    upstream = files.partition_files(files.list_files(spark, f"{root}/detail"))
+    built = incremental.built_from(spark, f"{root}/daily")
+    return incremental.stale_dates(upstream, built, state="version").select(C.DATE_KEY, "action")
 
 
 @query

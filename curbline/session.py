@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +73,17 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
+@contextmanager
+def fitted_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Shuffle partitions to suit one step's input; what was set before holds again afterwards."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fit_shuffles(spark, input_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Compute a reduced frame once and keep it in the shared folder.
 

@@ -17,33 +17,85 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, key: str = DATE_KEY, affected: list | None = None) -> None:
+STAGING = "_staging"
+READY = "_READY"
+
+
+def replace_partitions(
+    df: DataFrame, path: str, key: str = DATE_KEY, affected: list | None = None, gathered: bool = False
+) -> None:
     """Replace the partitions that ``df`` has rows for; the others keep their files.
 
-    The old partitions are swapped only once all tasks are done, so ``df`` may
-    read the table it replaces. Partitions listed in ``affected`` that got no
-    rows are removed. The rebalance gathers each date into few files, joins
-    small dates in one task and splits a date too large for one.
+    The new partitions are written whole beside the old ones and then put in their place, so ``df`` may
+    read the table it replaces, and what a lost driver left half done is finished by ``recover``. Partitions listed
+    in ``affected`` that got no rows are removed. The rebalance gathers each date into few files, joins
+    small dates in one task and splits a date too large for one; rows that are ``gathered`` already
+    stay where they are. A table has one writer at a time.
     """
     spark = df.sparkSession
-    old_files = _first_files(spark, path, key, affected) if affected else {}
-    (
-        df.hint("rebalance", F.col(key))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
-    if old_files:
-        new_files = _first_files(spark, path, key, affected)
-        untouched = [value for value, file in old_files.items() if new_files.get(value) == file]
-        drop_partitions(spark, path, untouched, key)
+    recover(spark, path)
+    staged = f"{path}/{STAGING}/{uuid.uuid4().hex}"
+    rows = df if gathered else df.hint("rebalance", F.col(key))
+    rows.write.partitionBy(key).parquet(staged)
+    file_system, staged_path = file_system_of(spark, staged)
+    if affected:
+        # an empty folder in the staging area stands for a partition that goes
+        for name in _folder_names(spark, path, affected, key):
+            file_system.mkdirs(_path(spark, f"{staged}/{name}"))
+    file_system.create(_path(spark, f"{staged}/{READY}")).close()
+    _put_in_place(spark, path, staged)
+
+
+def recover(spark: SparkSession, path: str) -> list[str]:
+    """Finish the replacements that were staged whole and not put in place; give up the others.
+
+    Putting a folder in its place can be repeated at any point, so a driver may be lost here as well. Returns the
+    names of the partitions that were put in place.
+    """
+    file_system, staging = file_system_of(spark, f"{path}/{STAGING}")
+    if not file_system.exists(staging):
+        return []
+    done = []
+    for status in file_system.listStatus(staging):
+        staged = status.getPath().toString()
+        if file_system.exists(_path(spark, f"{staged}/{READY}")):
+            done += _put_in_place(spark, path, staged)
+        else:
+            file_system.delete(status.getPath(), True)
+    return done
+
+
+def _put_in_place(spark: SparkSession, path: str, staged: str) -> list[str]:
+    """Each staged partition folder in the place of the table's; one folder for each partition."""
+    file_system, staged_path = file_system_of(spark, staged)
+    names = [s.getPath().getName() for s in file_system.listStatus(staged_path) if "=" in s.getPath().getName()]
+    for name in names:
+        source, target = _path(spark, f"{staged}/{name}"), _path(spark, f"{path}/{name}")
+        file_system.delete(target, True)
+        if not file_system.listStatus(source):
+            file_system.delete(source, True)
+        elif not file_system.rename(source, target):
+            raise OSError(f"could not put {source} in place of {target}")
+    file_system.delete(staged_path, True)
+    staging = staged_path.getParent()
+    if not file_system.listStatus(staging):
+        file_system.delete(staging, True)
+    return names
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system_of(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as an object of it."""
+    hadoop_path = _path(spark, path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 
-def _first_files(spark: SparkSession, path: str, key: str, values: list) -> dict:
-    """One row per partition; a rewritten partition has no file name in common with the old one."""
+def _folder_names(spark: SparkSession, path: str, values: list, key: str) -> list[str]:
     listing = partition_files(list_files(spark, path), key).where(F.col(key).isin(list(values)))
-    return {row[key]: row["first_file"] for row in listing.select(key, "first_file").collect()}
+    return [row["folder"].rsplit("/", 1)[1] for row in listing.select("folder").collect()]
 
 
 def drop_partitions(spark: SparkSession, path: str, values: list, key: str = DATE_KEY) -> None:

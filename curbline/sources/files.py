@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -47,36 +48,65 @@ def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataF
         return spark.createDataFrame([], FILE_SCHEMA)
 
 
-def discover_months(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE_PATTERN) -> DataFrame:
-    """Months delivered under ``raw_dir`` in ascending order, other names ignored.
+def month_path_pattern(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE_PATTERN) -> str:
+    """What the path of a month file, or of a part file in a month folder, matches; groups: month path, year, month."""
+    root = qualified(spark, raw_dir).rstrip("/")
+    return rf"^(\Q{root}\E/{pattern})(/.*)?$"
+
+
+def discover_files(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE_PATTERN) -> DataFrame:
+    """One row per file of a delivered month, other names ignored: year_month, month_path, path, modified and length.
 
     A month is one file, or a folder of part files with the same kind of name.
     """
-    root = qualified(spark, raw_dir).rstrip("/")
-    whole = rf"^(\Q{root}\E/{pattern})(/.*)?$"
+    whole = month_path_pattern(spark, raw_dir, pattern)
     named = list_files(spark, raw_dir, recursive=True).where(F.col("path").rlike(whole))
     part = [F.regexp_extract("path", whole, group) for group in (1, 2, 3)]
+    return named.select(
+        F.concat_ws("-", part[1], part[2]).alias("year_month"),
+        part[0].alias("month_path"),
+        "path",
+        F.col("modificationTime").alias("modified"),
+        "length",
+    )
+
+
+def discover_months(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE_PATTERN) -> DataFrame:
+    """Months delivered under ``raw_dir`` in ascending order, other names ignored."""
     return (
-        named.select(F.concat_ws("-", part[1], part[2]).alias("year_month"), part[0].alias("month_path"), "modificationTime", "length")
+        discover_files(spark, raw_dir, pattern)
         .groupBy("year_month", "month_path")
-        .agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
+        .agg(F.sum("length").alias("bytes"), F.max("modified").alias("modified"))
         .orderBy("year_month")
     )
 
 
-def read_raw(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
+#: Parquet footers read at the same time to learn the layouts of raw files
+FOOTERS_AT_ONCE = 16
+
+
+def read_raw(
+    spark: SparkSession, paths: list[str], schema: T.StructType | None = None, delivered: str | None = None
+) -> DataFrame:
     """Raw months as one frame; a column that some months lack is NULL in them.
 
     With a schema each month is cast to it, as types change from month to month
     in ways one Parquet scan cannot read; months alike are one scan. Columns it
-    does not name are kept.
+    does not name are kept. ``delivered`` names a column to add: when the row's file was written.
     """
+
+    def rows(*some: str, merge: bool = False) -> DataFrame:
+        found = spark.read.option("mergeSchema", merge).parquet(*some)
+        return found.withColumn(delivered, F.col("_metadata.file_modification_time")) if delivered else found
+
     if not schema:
-        return spark.read.option("mergeSchema", True).parquet(*paths)
+        return rows(*paths, merge=True)
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        layouts = list(pool.map(lambda path: spark.read.parquet(path).schema.json(), paths))
     alike: dict[str, list[str]] = {}
-    for path in paths:
-        alike.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    months = [conform(spark.read.parquet(*same), schema) for same in alike.values()]
+    for path, layout in zip(paths, layouts):
+        alike.setdefault(layout, []).append(path)
+    months = [conform(rows(*same), schema) for same in alike.values()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), months)
 
 
@@ -96,16 +126,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def partition_files(files: DataFrame, key: str = DATE_KEY) -> DataFrame:
-    """Per partition value of a file listing: folder, files, bytes, last change and first file name."""
+    """Per partition value of a file listing: folder, files, bytes, last change, first file name and version.
+
+    The version is made of the names and lengths of the files. Writers name files anew, so it differs after every
+    rewrite, whatever the clocks say, and is the same in a copy of the table.
+    """
     if key not in files.columns:
         files = files.where(F.lit(False)).withColumn(key, F.lit(None).cast("date"))
     folder = F.regexp_extract("path", rf"^(.*/{key}=[^/]+)/", 1)
+    name = F.element_at(F.split("path", "/"), -1)
+    names = F.hex(F.bit_xor(F.xxhash64(name, "length")))
     return files.groupBy(key).agg(
         F.min(folder).alias("folder"),
         F.count("*").alias("files"),
         F.sum("length").alias("bytes"),
         F.max("modificationTime").alias("modified"),
         F.min("path").alias("first_file"),
+        F.concat_ws(":", F.count("*").cast("string"), names).alias("version"),
     )
 
 

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from curbline.contracts import MONTH_FILE_PATTERN
 from curbline.operators.clean import clean_detail
 from curbline.plans.incremental import merge_into_detail
-from curbline.sources.files import read_raw
+from curbline.sources.files import month_path_pattern, read_raw
 
 LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def start_detail_stream(
-    spark: SparkSession, raw_dir: str, schema: T.StructType, detail_path: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession,
+    raw_dir: str,
+    schema: T.StructType,
+    detail_path: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    pattern: str = MONTH_FILE_PATTERN,
 ) -> StreamingQuery:
-    """Merge every file not seen before into the detail table, then stop.
+    """Merge every month file not seen before into the detail table, then stop; other names are ignored.
 
     The stream carries file names only; each batch reads its files as the batch
     load does, so types may differ and undeclared columns are kept. A batch
@@ -31,6 +39,7 @@ def start_detail_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(raw_dir)
         .select("path")
+        .where(F.col("path").rlike(month_path_pattern(spark, raw_dir, pattern)))
     )
 
     def merge(batch, _):
