@@ -88,11 +88,19 @@ def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame, dt.date]:
 
 
 def write_raw_months(trips: DataFrame, raw_dir: str) -> None:
-    """One folder per pickup month, named as the month files are."""
-    month = month_text(F.col(C.TRIP.pickup))
-    for row in trips.select(month.alias("year_month")).distinct().orderBy("year_month").collect():
-        year_month = row["year_month"]
-        trips.where(month == year_month).write.parquet(f"{raw_dir}/yellow_tripdata_{year_month}.parquet")
+    """One folder per pickup month, named as the month files are, from one pass; trips without a time are in the first."""
+    spark = trips.sparkSession
+    staged = scratch_path(spark, "months")
+    first = trips.agg(month_text(F.min(C.TRIP.pickup))).first()[0]
+    month = F.coalesce(month_text(F.col(C.TRIP.pickup)), F.lit(first))
+    trips.withColumn("__month", month).hint("rebalance", F.col("__month")).write.partitionBy("__month").parquet(staged)
+    file_system, root = parquet.file_system_of(spark, raw_dir)
+    file_system.mkdirs(root)
+    for status in file_system.listStatus(parquet.file_system_of(spark, staged)[1]):
+        name = status.getPath().getName()
+        if name.startswith("__month="):
+            target = f"{raw_dir}/yellow_tripdata_{name.removeprefix('__month=')}.parquet"
+            file_system.rename(status.getPath(), parquet.file_system_of(spark, target)[1])
 
 
 def write_zone_csv(spark, sf_dir, path: str) -> None:
@@ -475,6 +483,59 @@ def load_months(spark, sf_dir):
     return spark.read.parquet(f"{root}/detail")
 
 
+def order_raw(spark, sf_dir) -> DataFrame:
+    return event_trips.order_trips(table(spark, sf_dir, "lineitem"))
+
+
+def small_groups(spark, raw_dir: str) -> int:
+    """A bound on the bytes of a group that makes about three groups of the delivered files."""
+    return files.discover_files(spark, raw_dir).agg(F.sum("length")).first()[0] // 3 + 1
+
+
+@query
+def load_many_months(spark, sf_dir):
+    """All order months, in several groups; what is loaded first is a third of the months."""
+    root = scratch_path(spark, "months")
+    write_raw_months(order_raw(spark, sf_dir).where(F.month(C.TRIP.pickup) % 3 == 0), f"{root}/raw")
+    bound = small_groups(spark, f"{root}/raw")
+    incremental.load_months(spark, f"{root}/raw", f"{root}/detail", group_bytes=bound)
+    write_raw_months(order_raw(spark, sf_dir).where(F.month(C.TRIP.pickup) % 3 != 0), f"{root}/raw")
+    incremental.load_months(spark, f"{root}/raw", f"{root}/detail", group_bytes=2 * bound)
+    return spark.read.parquet(f"{root}/detail")
+
+
+@query
+def load_deliveries(spark, sf_dir):
+    """The log of three loads: the odd months, the even ones, and nothing new."""
+    root = scratch_path(spark, "deliveries")
+    for odd in (1, 0):
+        write_raw_months(order_raw(spark, sf_dir).where(F.month(C.TRIP.pickup) % 2 == odd), f"{root}/raw")
+        bound = small_groups(spark, f"{root}/raw")
+        incremental.load_deliveries(spark, f"{root}/raw", f"{root}/detail", group_bytes=bound)
+    incremental.load_deliveries(spark, f"{root}/raw", f"{root}/detail")
+    logged = incremental.delivered_files(spark, f"{root}/detail").groupBy("year_month").agg(F.sum("rows").alias("raw_rows"))
+    merged = spark.read.parquet(f"{root}/detail").groupBy(month_text(F.col(C.DATE_KEY)).alias("year_month"))
+    return logged.join(merged.agg(F.count("*").alias("detail_rows")), "year_month", "left")
+
+
+@query
+def merge_by_key(spark, sf_dir):
+    """Trips from the middle day on are delivered again, with another amount and a new column: one row a trip."""
+    root = scratch_path(spark, "keyed")
+    trips = staged_raw(spark, sf_dir)
+    day = middle_day(table(spark, sf_dir, "events"), "ts")
+    first, again = f"{root}/first", f"{root}/again"
+    write_raw_months(trips, first)
+    incremental.load_deliveries(spark, first, f"{root}/detail", keys=["event_id"])
+    corrected = trips.where(F.col(C.TRIP.pickup) >= F.lit(day)).withColumns(
+        {"total_amount": F.col("total_amount") + 1, "tip_amount": F.lit(1.0)}
+    )
+    write_raw_months(corrected, again)
+    incremental.load_deliveries(spark, again, f"{root}/detail", keys=["event_id"])
+    merged = spark.read.option("mergeSchema", True).parquet(f"{root}/detail")
+    return merged.select("event_id", C.DATE_KEY, "trip_distance", "total_amount", "tip_amount")
+
+
 @query
 def stream_detail(spark, sf_dir):
     root = scratch_path(spark, "stream")

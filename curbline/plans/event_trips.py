@@ -53,6 +53,22 @@ def raw_trips(events: DataFrame) -> DataFrame:
     )
 
 
+def order_trips(lineitem: DataFrame) -> DataFrame:
+    """Order lines as raw trips in the first days of their ship month: the first day for line 1, and so on."""
+    pickup = F.date_trunc("month", "l_shipdate") + F.make_dt_interval(days=F.col("l_linenumber") - 1, hours=F.pmod("l_orderkey", F.lit(24)).cast("int"))
+    return lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        pickup.cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        (pickup + F.make_dt_interval(mins=F.col("l_quantity").cast("int"))).cast("timestamp_ntz").alias("tpep_dropoff_datetime"),
+        F.col("l_linenumber").cast("long").alias("passenger_count"),
+        (F.col("l_discount") * 100).alias("trip_distance"),
+        F.pmod("l_suppkey", F.lit(30)).cast("int").alias("PULocationID"),
+        F.pmod("l_partkey", F.lit(31)).cast("int").alias("DOLocationID"),
+        F.col("l_extendedprice").alias("total_amount"),
+    )
+
+
 def zone_rows(nation: DataFrame, region: DataFrame) -> DataFrame:
     """One row per nation, and a second one for nation 7."""
     named = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])

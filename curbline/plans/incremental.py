@@ -102,10 +102,12 @@ def merge_into_detail(
     recover(spark, detail_path)
     if listing is None:
         listing = list_files(spark, detail_path)
-    planned = plan_rows(cleaned, keys)
+    order = DELIVERED if keys else None
+    planned = plan_rows(cleaned, keys, order)
     existing = partition_files(listing).select(DATE_KEY, "folder", "bytes")
-    dates = freeze(plan_dates(planned.counts, existing).join(planned.counts, DATE_KEY))
-    plan = dates.select(DATE_KEY, "kind", "folder").collect()
+    slices = F.ceil(F.col("rows") / SLICE_ROWS + F.coalesce("bytes", F.lit(0)) / SLICE_BYTES)
+    dates = plan_dates(planned.counts, existing).join(planned.counts, DATE_KEY)
+    plan = dates.select(DATE_KEY, "kind", "folder", slices.alias("slices")).collect()
     overlap = {row[DATE_KEY]: row["folder"] for row in plan if row["kind"] == "overlap"}
     new = [row[DATE_KEY] for row in plan if row["kind"] == "new"]
     if plan:
@@ -115,9 +117,8 @@ def merge_into_detail(
             if same_columns and not keys and set(old.columns) != set(cleaned.columns):
                 raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(cleaned.columns))}")
             rows = old.unionByName(cleaned, allowMissingColumns=True)
-        slices = F.ceil(F.col("rows") / SLICE_ROWS + F.coalesce("bytes", F.lit(0)) / SLICE_BYTES)
-        order = F.col(DELIVERED) if keys else None
-        merged = one_exchange(rows, dates.select(DATE_KEY, slices.alias("slices")), planned.frequent, keys, order)
+        sliced = spark.createDataFrame([(row[DATE_KEY], row["slices"]) for row in plan], f"{DATE_KEY} date, slices long")
+        merged = one_exchange(rows, sliced, planned.frequent, keys, order)
         replace_partitions(merged, detail_path, gathered=True)
     return LoadResult(new_dates=sorted(new), overlap_dates=sorted(overlap))
 

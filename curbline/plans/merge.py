@@ -31,9 +31,9 @@ LEAST_SEEN = 20
 _SLICE, _WHOLE, _SEEN = "__slice", "__whole", "__seen"
 
 
-def identity(columns: list[str], keys: list[str] | None) -> Column:
-    """Hash of what makes two rows one: the key, or the whole row where there is none or it has a NULL."""
-    row = F.xxhash64(*[F.col(f"`{name}`") for name in sorted(columns)])
+def identity(columns: list[str], keys: list[str] | None, order: str | None = None) -> Column:
+    """Hash of what makes two rows one: the key, or where there is none or it has a NULL the row, but for its `order`."""
+    row = F.xxhash64(*[F.col(f"`{name}`") for name in sorted(columns) if name != order])
     if not keys:
         return row
     return F.when(_whole_key(keys), F.xxhash64(*[F.col(f"`{name}`") for name in keys])).otherwise(row)
@@ -52,13 +52,18 @@ class RowPlan:
 
 
 def plan_rows(
-    rows: DataFrame, keys: list[str] | None = None, sample_rows: int = SAMPLE_ROWS, slice_rows: int = SLICE_ROWS, key: str = DATE_KEY
+    rows: DataFrame,
+    keys: list[str] | None = None,
+    order: str | None = None,
+    sample_rows: int = SAMPLE_ROWS,
+    slice_rows: int = SLICE_ROWS,
+    key: str = DATE_KEY,
 ) -> RowPlan:
     """Counts dates and sampled identities in one aggregate; it shuffles a row a date and task, and the sample."""
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     # a row is taken for 16 bytes at least, so that the sample is rather too small than too large
     share = min(1.0, 16 * sample_rows / max(1, size))
-    sampled = F.when(F.rand(0) < share, identity(rows.columns, keys))
+    sampled = F.when(F.rand(0) < share, identity(rows.columns, keys, order))
     counts = freeze(rows.select(key, sampled.alias("seen")).groupBy(key, "seen").count())
     least = max(LEAST_SEEN, int(slice_rows * share / 2))
     seen = counts.where("seen is not null").groupBy("seen").agg(F.sum("count").alias("times"))
@@ -67,15 +72,14 @@ def plan_rows(
     return RowPlan(counts.groupBy(key).agg(F.sum("count").alias("rows")), frequent)
 
 
-def _unified(rows: DataFrame, keys: list[str] | None, order: Column | None, by: list[str]) -> DataFrame:
+def _unified(rows: DataFrame, keys: list[str] | None, order: str | None, by: list[str]) -> DataFrame:
     """Distinct rows, or of each key in `by` the row that is last in `order`, ties by the row's hash."""
     if not keys:
         return rows.dropDuplicates()
-    columns = [name for name in rows.columns if name != _SLICE]
-    quoted = [F.col(f"`{name}`") for name in columns]
+    columns = {name: F.col(f"`{name}`") for name in rows.columns if name != _SLICE}
     # rows without a whole key are themselves what they are grouped by
-    whole = F.when(~_whole_key(keys), F.struct(*quoted))
-    newest = F.max_by(F.struct(*quoted), F.struct(order, F.xxhash64(*quoted)))
+    whole = F.when(~_whole_key(keys), F.struct(*[column for name, column in columns.items() if name != order]))
+    newest = F.max_by(F.struct(*columns.values()), F.struct(columns[order], F.xxhash64(*columns.values())))
     found = rows.withColumn(_WHOLE, whole).groupBy(*by, *[f"`{name}`" for name in keys if name not in by], _WHOLE)
     return found.agg(newest.alias(_SEEN)).select(f"{_SEEN}.*")
 
@@ -85,21 +89,20 @@ def one_exchange(
     dates: DataFrame,
     frequent: list[int],
     keys: list[str] | None = None,
-    order: Column | None = None,
-    slice_rows: int = SLICE_ROWS,
+    order: str | None = None,
     key: str = DATE_KEY,
 ) -> DataFrame:
     """Distinct rows, or the last one of each key, gathered by date and slice.
 
     `dates` has a row a date with its slices; it is no longer than the calendar and joined by broadcast. A
-    key is one within its date. Rows with a NULL in the key are only made distinct.
+    key is one within its date. Rows with a NULL in the key are only made distinct, whatever their `order`.
     """
-    wanted = identity(rows.columns, keys)
+    wanted = identity(rows.columns, keys, order)
     if frequent:
         often = wanted.isin(frequent)
         rows = rows.where(~often).unionByName(_unified(rows.where(often), keys, order, [key]))
     sliced = rows.join(F.broadcast(dates), key, "left")
-    slice_of = F.pmod(identity(rows.columns, keys), F.coalesce("slices", F.lit(1)))
+    slice_of = F.pmod(identity(rows.columns, keys, order), F.coalesce("slices", F.lit(1)))
     sliced = sliced.select(*[F.col(f"`{name}`") for name in rows.columns], slice_of.alias(_SLICE))
     gathered = sliced.repartition(key, _SLICE)
     return _unified(gathered, keys, order, [key, _SLICE]).select(*[F.col(f"`{name}`") for name in rows.columns])

@@ -112,6 +112,21 @@ middle AS (
   SELECT CAST(min(ts) AS date) + CAST(date_diff('day', CAST(min(ts) AS date), CAST(max(ts) AS date)) // 2 AS integer) AS day
   FROM events)"""
 
+ORDER_TRIPS = f"""
+order_raw AS (
+  SELECT l_orderkey, l_linenumber, pickup AS tpep_pickup_datetime,
+         pickup + to_minutes(CAST(trunc(l_quantity) AS integer)) AS tpep_dropoff_datetime,
+         CAST(l_linenumber AS bigint) AS passenger_count, l_discount * 100 AS trip_distance,
+         CAST(l_suppkey % 30 AS integer) AS PULocationID, CAST(l_partkey % 31 AS integer) AS DOLocationID,
+         l_extendedprice AS total_amount
+  FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS timestamp) + to_days(l_linenumber - 1)
+                  + to_hours(CAST(l_orderkey % 24 AS integer)) AS pickup FROM lineitem) t),
+order_dwd AS (
+  SELECT t.*, {DERIVED},
+         {two_places(f"CAST({SECONDS} AS double) / 60")} AS trip_duration_minutes
+  FROM (SELECT DISTINCT * FROM order_raw) t
+  WHERE {DETAIL_RULES})"""
+
 FRONT = (RAW, DWD)
 ZONED = (RAW, DWD, ZONE_ROWS, ZONES, LOCATION, LOCATION_ZONE)
 
@@ -413,6 +428,21 @@ def oracle_sql() -> dict[str, str]:
         ),
         "merge_boundary": SELECT_DWD,
         "load_months": SELECT_DWD,
+        "load_many_months": select((ORDER_TRIPS,), "SELECT * FROM order_dwd"),
+        "load_deliveries": select(
+            (ORDER_TRIPS,),
+            """SELECT year_month, raw_rows, detail_rows
+  FROM (SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS year_month, count(*) AS raw_rows FROM order_raw GROUP BY 1) r
+  LEFT JOIN (SELECT strftime(trip_date, '%Y-%m') AS year_month, count(*) AS detail_rows FROM order_dwd GROUP BY 1) d
+  USING (year_month)""",
+        ),
+        "merge_by_key": select(
+            (*FRONT, MIDDLE),
+            """SELECT event_id, trip_date, trip_distance,
+       CASE WHEN trip_date >= day THEN total_amount + 1 ELSE total_amount END AS total_amount,
+       CASE WHEN trip_date >= day THEN 1.0::double END AS tip_amount
+  FROM dwd, middle""",
+        ),
         "stream_detail": SELECT_DWD,
         "stale_dates": select(
             (*FRONT, MIDDLE),

@@ -38,11 +38,12 @@ def replace_partitions(
     rows = df if gathered else df.hint("rebalance", F.col(key))
     rows.write.partitionBy(key).parquet(staged)
     file_system, staged_path = file_system_of(spark, staged)
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
     if affected:
         # an empty folder in the staging area stands for a partition that goes
         for name in _folder_names(spark, path, affected, key):
-            file_system.mkdirs(_path(spark, f"{staged}/{name}"))
-    file_system.create(_path(spark, f"{staged}/{READY}")).close()
+            file_system.mkdirs(path_class(staged_path, name))
+    file_system.create(path_class(staged_path, READY)).close()
     _put_in_place(spark, path, staged)
 
 
@@ -55,11 +56,11 @@ def recover(spark: SparkSession, path: str) -> list[str]:
     file_system, staging = file_system_of(spark, f"{path}/{STAGING}")
     if not file_system.exists(staging):
         return []
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
     done = []
     for status in file_system.listStatus(staging):
-        staged = status.getPath().toString()
-        if file_system.exists(_path(spark, f"{staged}/{READY}")):
-            done += _put_in_place(spark, path, staged)
+        if file_system.exists(path_class(status.getPath(), READY)):
+            done += _put_in_place(spark, path, status.getPath().toString())
         else:
             file_system.delete(status.getPath(), True)
     return done
@@ -68,9 +69,11 @@ def recover(spark: SparkSession, path: str) -> list[str]:
 def _put_in_place(spark: SparkSession, path: str, staged: str) -> list[str]:
     """Each staged partition folder in the place of the table's; one folder for each partition."""
     file_system, staged_path = file_system_of(spark, staged)
+    # looked up once: each lookup asks the JVM
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
     names = [s.getPath().getName() for s in file_system.listStatus(staged_path) if "=" in s.getPath().getName()]
     for name in names:
-        source, target = _path(spark, f"{staged}/{name}"), _path(spark, f"{path}/{name}")
+        source, target = path_class(staged_path, name), path_class(f"{path}/{name}")
         file_system.delete(target, True)
         if not file_system.listStatus(source):
             file_system.delete(source, True)
@@ -83,13 +86,9 @@ def _put_in_place(spark: SparkSession, path: str, staged: str) -> list[str]:
     return names
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
 def file_system_of(spark: SparkSession, path: str) -> tuple:
     """The file system of a path, and the path as an object of it."""
-    hadoop_path = _path(spark, path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 

@@ -1,13 +1,18 @@
 import datetime as dt
 import glob
+import os
+import shutil
 
-from trips import raw_frame, rows_of, trip, whole_month
+import pytest
+from trips import RAW, raw_frame, rows_of, trip, whole_month
 
 from curbline import contracts as C
 from curbline.operators.clean import clean_detail
 from curbline.operators.metrics import daily_metrics, hourly_metrics
 from curbline.plans import incremental as inc
+from curbline.plans.merge import one_exchange, plan_rows
 from curbline.plans.warehouse import TABLES, run_warehouse
+from curbline.session import freeze
 from curbline.sinks.parquet import overwrite
 from curbline.sources.files import list_files, list_partitions, partition_files
 from curbline.streaming.detail import start_detail_stream
@@ -206,3 +211,233 @@ def test_stream_picks_up_only_new_files(spark, folder):
     assert detail_rows(spark, f"{folder}/detail") == rows_of(
         at_once.select("tpep_pickup_datetime", "trip_distance", "trip_date")
     )
+
+
+def all_files(path):
+    return sorted(glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_open_month_that_was_loaded_rewrites_nothing(spark, folder):
+    detail = f"{folder}/detail"
+    write_month(spark, folder, "2024-01", JANUARY[:20])
+    first = inc.load_deliveries(spark, f"{folder}/raw", detail)
+    assert (first.months, first.groups, len(first.new_dates)) == (["2024-01"], 1, 20)
+    files = all_files(detail)
+    assert inc.load_deliveries(spark, f"{folder}/raw", detail) == inc.LoadResult()
+    assert all_files(detail) == files
+
+
+def test_file_delivered_again_is_loaded(spark, folder):
+    """A month counts as whole by its days, but its file is another one."""
+    detail = f"{folder}/detail"
+    write_month(spark, folder, "2024-01", whole_month(2024, 1))
+    write_month(spark, folder, "2024-02", whole_month(2024, 2))
+    inc.load_deliveries(spark, f"{folder}/raw", detail)
+    february = glob.glob(f"{detail}/trip_date=2024-02-*/*.parquet")
+    write_month(spark, folder, "2024-01", [*whole_month(2024, 1), trip("2024-01-09 12:00:00", distance=7.0)])
+    again = inc.load_deliveries(spark, f"{folder}/raw", detail)
+    assert again.months == ["2024-01"]
+    assert len(again.overlap_dates) == 31
+    assert spark.read.parquet(detail).count() == 31 + 29 + 1
+    assert glob.glob(f"{detail}/trip_date=2024-02-*/*.parquet") == february
+    log = inc.delivered_files(spark, detail)
+    assert log.agg(F.max("batch")).first()[0] == 2
+    rows = {r["year_month"]: r["n"] for r in log.groupBy("year_month").agg(F.sum("rows").alias("n")).collect()}
+    assert rows == {"2024-01": 31 + 32, "2024-02": 29}
+    # the coverage rule sees whole months only
+    assert inc.load_months(spark, f"{folder}/raw", detail) == inc.LoadResult()
+
+
+def test_groups_are_bounded_and_leave_nothing_out(spark):
+    listing = [(f"2024-{m:02d}", "p", f"f{m:02d}-{i}", dt.datetime(2024, 1, 1), 10 + i) for m in range(1, 13) for i in range(m % 4 + 1)]
+    listing.append(("2024-06", "p", "huge", dt.datetime(2024, 1, 2), 500))
+    files = spark.createDataFrame(listing, "year_month string, month_path string, path string, modified timestamp, length long")
+    for group_bytes, group_files in ((50, 100), (1000, 3), (1, 1), (10_000, 1000)):
+        groups = [(months, group.collect()) for months, group in inc.file_groups(files, group_bytes, group_files)]
+        paths = [row["path"] for _, rows in groups for row in rows]
+        assert sorted(paths) == sorted(row[2] for row in listing)
+        for months, rows in groups:
+            assert {row["year_month"] for row in rows} == set(months)
+            # a file that begins within the bound is taken whole
+            assert sum(row["length"] for row in rows) <= group_bytes + 500
+            assert len(rows) <= group_files
+        order = [month for months, _ in groups for month in months]
+        assert order == sorted(order)
+
+
+def test_load_in_groups_equals_one_load(spark, folder):
+    for month in range(1, 7):
+        write_month(spark, folder, f"2024-{month:02d}", [*whole_month(2024, month), trip(f"2024-{month % 6 + 1:02d}-01 09:00:00")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    at_once = inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/one")
+    grouped = inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/many", group_bytes=1)
+    assert (at_once.groups, at_once.months) == (1, grouped.months)
+    # Spark writes several part files a month here
+    assert grouped.groups >= 6
+    assert sorted({*grouped.new_dates, *grouped.overlap_dates}) == at_once.new_dates
+    assert detail_rows(spark, f"{folder}/many") == detail_rows(spark, f"{folder}/one")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_load_that_broke_off_is_repeated(spark, folder, monkeypatch):
+    write_month(spark, folder, "2024-01", JANUARY)
+    write_month(spark, folder, "2024-02", FEBRUARY)
+    merge, calls = inc.merge_into_detail, []
+
+    def dies(*args, **named):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return merge(*args, **named)
+
+    monkeypatch.setattr(inc, "merge_into_detail", dies)
+    try:
+        inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/detail", group_bytes=1)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    known = inc.delivered_files(spark, f"{folder}/detail").count()
+    assert known >= 1
+    inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/detail")
+    at_once = clean_detail(raw_frame(spark, JANUARY + FEBRUARY)).dropDuplicates()
+    assert detail_rows(spark, f"{folder}/detail") == rows_of(at_once.select("tpep_pickup_datetime", "trip_distance", "trip_date"))
+
+
+def keyed(spark, rows, **columns):
+    frame = spark.createDataFrame([(i, *row) for i, row in rows], "id long, " + RAW)
+    return frame.withColumns({name: F.lit(value) for name, value in columns.items()})
+
+
+def test_newest_row_of_a_key_wins(spark, folder):
+    first = keyed(spark, [(1, trip(total=1.0)), (2, trip(total=2.0)), (None, trip(total=3.0)), (None, trip(total=3.0))])
+    first.write.parquet(f"{folder}/raw/yellow_tripdata_2024-01.parquet")
+    inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/detail", keys=["id"])
+    second = keyed(spark, [(2, trip(total=20.0)), (3, trip(total=30.0)), (None, trip(total=4.0))], tip_amount=1.5)
+    second.write.parquet(f"{folder}/raw/yellow_tripdata_2024-02.parquet")
+    inc.load_deliveries(spark, f"{folder}/raw", f"{folder}/detail", keys=["id"])
+    rows = rows_of(spark.read.option("mergeSchema", True).parquet(f"{folder}/detail").select("id", "total_amount", "tip_amount"))
+    assert rows == [(None, 3.0, None), (None, 4.0, 1.5), (1, 1.0, None), (2, 20.0, 1.5), (3, 30.0, 1.5)]
+    # an older file that is loaded later does not win
+    older = spark.read.parquet(f"{folder}/detail").where("id = 1").drop("tip_amount")
+    older = older.withColumns({"total_amount": F.lit(9.0), inc.DELIVERED: F.lit(dt.datetime(2001, 1, 1))})
+    inc.merge_into_detail(spark, older, f"{folder}/detail", keys=["id"])
+    assert spark.read.parquet(f"{folder}/detail").where("id = 1").first()["total_amount"] == 1.0
+
+
+def test_differing_columns_can_be_refused(spark, folder):
+    cleaned = clean_detail(raw_frame(spark, JANUARY))
+    inc.merge_into_detail(spark, cleaned, f"{folder}/detail", same_columns=True)
+    with pytest.raises(ValueError, match="tip_amount"):
+        inc.merge_into_detail(spark, cleaned.withColumn("tip_amount", F.lit(1.0)), f"{folder}/detail", same_columns=True)
+    inc.merge_into_detail(spark, cleaned, f"{folder}/detail", same_columns=True)
+    assert spark.read.parquet(f"{folder}/detail").count() == 33
+
+
+def full_row_exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+
+
+@pytest.mark.parametrize("keys", [None, ["n"]])
+def test_merge_has_one_exchange_of_whole_rows(spark, keys):
+    rows = spark.range(0, 20_000, 1, 6).selectExpr(
+        "if(id % 3 = 0, date'2024-01-01', date_add(date'2024-01-02', int(id % 9))) AS trip_date", "id % 7000 AS n", "id % 14000 AS m"
+    )
+    order = "m" if keys else None
+    dates = plan_rows(rows, keys, order, slice_rows=1000).counts.select("trip_date", F.ceil(F.col("rows") / 1000).alias("slices"))
+    dates = spark.createDataFrame(dates.collect(), "trip_date date, slices long")
+    merged = one_exchange(rows, dates, [], keys, order)
+    exchanges = full_row_exchanges(merged)
+    assert len(exchanges) == 1 and "trip_date" in exchanges[0] and "__slice" in exchanges[0]
+    expected = rows.dropDuplicates() if not keys else rows.groupBy("trip_date", "n").agg(F.max("m").alias("m")).select("trip_date", "n", "m")
+    assert rows_of(merged) == rows_of(expected)
+
+
+def test_hot_date_is_written_by_several_tasks_and_small_ones_by_one(spark, folder, monkeypatch):
+    monkeypatch.setattr(inc, "SLICE_ROWS", 5000)
+    times = "timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(if(id % 2 = 0, 0, int(id % 5) + 1), 0, int(id % 1400))"
+    raw = spark.range(0, 60_000, 1, 6).selectExpr(
+        f"{times} AS tpep_pickup_datetime", f"{times} + interval 5 minutes AS tpep_dropoff_datetime", "id AS passenger_count",
+        "2.0D AS trip_distance", "1 AS PULocationID", "2 AS DOLocationID", "3.0D AS total_amount",
+    )
+    # tasks this small would be joined
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        inc.merge_into_detail(spark, clean_detail(raw), f"{folder}/detail")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(f"{folder}/detail").count() == 60_000
+    assert len(glob.glob(f"{folder}/detail/trip_date=2024-01-05/*.parquet")) >= 3
+    for day in range(7, 10):
+        assert len(glob.glob(f"{folder}/detail/trip_date=2024-01-{day:02d}/*.parquet")) <= 2
+
+
+@pytest.mark.parametrize("keys", [None, ["PULocationID"]])
+def test_row_that_is_a_third_of_all_is_collapsed_where_it_is_read(spark, folder, keys):
+    often = raw_frame(spark, [trip(pu=1)]).crossJoin(spark.range(0, 40_000, 1, 4)).drop("id")
+    rest = spark.range(0, 2000).selectExpr(
+        "timestamp_ntz'2024-01-06 00:00:00' AS tpep_pickup_datetime", "timestamp_ntz'2024-01-06 00:10:00' AS tpep_dropoff_datetime",
+        "1L AS passenger_count", "2.0D AS trip_distance", "int(id + 10) AS PULocationID", "2 AS DOLocationID", "3.0D AS total_amount",
+    )
+    often.unionByName(rest).write.parquet(f"{folder}/raw")
+    cleaned = clean_detail(spark.read.parquet(f"{folder}/raw"))
+    order = "total_amount" if keys else None
+    planned = plan_rows(cleaned, keys, order, slice_rows=1000)
+    assert len(planned.frequent) == 1
+    dates = spark.createDataFrame([(dt.date(2024, 1, 5), 40), (dt.date(2024, 1, 6), 2)], "trip_date date, slices long")
+    merged = one_exchange(cleaned, dates, planned.frequent, keys, order)
+    assert merged.count() == 2001
+    assert len(planned.counts.collect()) == 2
+
+
+def test_change_during_a_refresh_is_seen_by_the_next(spark, folder):
+    detail, daily = f"{folder}/detail", f"{folder}/daily"
+    inc.merge_into_detail(spark, clean_detail(raw_frame(spark, JANUARY)), detail)
+    inc.refresh_daily(spark, detail, daily)
+    late = dt.date(2024, 1, 8)
+
+    def build(rows):
+        built = freeze(daily_metrics(rows))
+        inc.merge_into_detail(spark, clean_detail(raw_frame(spark, [trip(f"{late} 23:00:00")])), detail)
+        return built
+
+    inc.merge_into_detail(spark, clean_detail(raw_frame(spark, [trip(f"{late} 22:00:00")])), detail)
+    assert inc.refresh_by_date(spark, detail, daily, build)["refreshed"] == [late]
+    assert inc.refresh_daily(spark, detail, daily)["refreshed"] == [late]
+    assert inc.refresh_daily(spark, detail, daily) == {"refreshed": [], "dropped": []}
+    assert spark.read.parquet(daily).where(F.col("trip_date") == F.lit(late)).first()["trip_count"] == 3
+
+
+def test_copied_tables_are_not_stale_and_clocks_do_not_count(spark, folder):
+    detail, daily = f"{folder}/detail", f"{folder}/daily"
+    inc.merge_into_detail(spark, clean_detail(raw_frame(spark, JANUARY)), detail)
+    inc.refresh_daily(spark, detail, daily)
+    for name in ("daily", "detail"):
+        shutil.copytree(f"{folder}/{name}", f"{folder}/copy/{name}")
+    assert inc.refresh_daily(spark, f"{folder}/copy/detail", f"{folder}/copy/daily") == {"refreshed": [], "dropped": []}
+    # an upstream date that looks older than what was built from it
+    day = dt.date(2024, 1, 3)
+    inc.merge_into_detail(spark, clean_detail(raw_frame(spark, [trip(f"{day} 22:00:00")])), detail)
+    for file in glob.glob(f"{detail}/trip_date={day}/*.parquet"):
+        os.utime(file, (1, 1))
+    assert inc.refresh_daily(spark, detail, daily)["refreshed"] == [day]
+
+
+def test_dates_built_by_an_older_release_are_built_again_once(spark, folder):
+    detail, daily = f"{folder}/detail", f"{folder}/daily"
+    inc.merge_into_detail(spark, clean_detail(raw_frame(spark, JANUARY)), detail)
+    inc.refresh_daily(spark, detail, daily)
+    shutil.rmtree(f"{daily}/_built_from")
+    assert len(inc.refresh_daily(spark, detail, daily)["refreshed"]) == 32
+    assert inc.refresh_daily(spark, detail, daily) == {"refreshed": [], "dropped": []}
+
+
+def test_stream_ignores_other_names(spark, folder):
+    write_month(spark, folder, "2024-01", JANUARY)
+    spark.createDataFrame([(1,)], "stray long").write.parquet(f"{folder}/raw/zones.parquet")
+    schema = raw_frame(spark, []).schema
+    start_detail_stream(spark, f"{folder}/raw", schema, f"{folder}/detail", f"{folder}/log").awaitTermination()
+    found = spark.read.option("mergeSchema", True).parquet(f"{folder}/detail")
+    assert "stray" not in found.columns and found.count() == 33

@@ -141,3 +141,36 @@ def test_merge_statements():
 def test_column_types(spark):
     df = spark.sql("SELECT 'x' AS s, 1 AS n, cast(1 AS decimal(10,2)) AS d")
     assert jdbc.column_types(df) == "s VARCHAR(255), d DECIMAL(20,4)"
+
+
+def test_replacement_that_broke_off_is_finished(spark, folder, monkeypatch):
+    """The driver dies after the old date was deleted and before the new one took its place."""
+    path = f"{folder}/t"
+    parquet.replace_partitions(dated(spark, [(D1, 1), (D2, 2), (D3, 3)]), path)
+    put, names = parquet._put_in_place, []
+
+    def dies(spark, path, staged):
+        file_system, target = parquet.file_system_of(spark, f"{path}/trip_date={D1}")
+        file_system.delete(target, True)
+        names.append(staged)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(parquet, "_put_in_place", dies)
+    with pytest.raises(RuntimeError):
+        parquet.replace_partitions(dated(spark, [(D1, 10), (D2, 20)]), path, affected=[D3])
+    monkeypatch.setattr(parquet, "_put_in_place", put)
+    assert rows_of(spark.read.parquet(path).select("trip_date", "n")) == [(D2, 2), (D3, 3)]
+    done = parquet.recover(spark, path)
+    assert sorted(done) == [f"trip_date={day}" for day in (D1, D2, D3)]
+    assert rows_of(spark.read.parquet(path).select("trip_date", "n")) == [(D1, 10), (D2, 20)]
+    assert parquet.recover(spark, path) == []
+    assert glob.glob(f"{path}/*") == [f"{path}/trip_date={D1}", f"{path}/trip_date={D2}"] or len(glob.glob(f"{path}/*")) == 2
+
+
+def test_replacement_that_was_not_staged_whole_is_given_up(spark, folder):
+    path = f"{folder}/t"
+    parquet.replace_partitions(dated(spark, [(D1, 1)]), path)
+    dated(spark, [(D1, 5)]).write.partitionBy("trip_date").parquet(f"{path}/_staging/x")
+    parquet.replace_partitions(dated(spark, [(D2, 2)]), path)
+    assert rows_of(spark.read.parquet(path).select("trip_date", "n")) == [(D1, 1), (D2, 2)]
+    assert glob.glob(f"{path}/_staging*") == []
