@@ -16,7 +16,8 @@ linked in two rounds:
 2. At shingles where several components meet, the points are packed into R-tree leaves of LEAF points
    with their coordinate maxima. The points outside the largest component of a shingle, in leaves of
    their own, meet all leaves there: leaves, then points, are joined while the bound allows a link, leaving
-   out what is in one component already; the pairs left are verified.
+   out what is in one component already. The pairs left are verified in rounds, a few of the same two
+   components at a time, as one link makes the others needless.
 
 Every link within a component either is found or cannot change the components, which are exact.
 """
@@ -41,10 +42,13 @@ LEAF = 64
 LOWEST = 8
 SLOTS = 1 << 22
 FILTER_BITS = 24
-#: pairs of a class that the first round verifies; the second round takes whatever is left
+#: pairs of a class that the first round verifies, and of two components in the first of the rounds after it
 FIRST_PAIRS = 6
+#: how many times as many pairs of two components each further round takes, until none is left
+MORE_PAIRS = 8
 EDGES_A_TASK = 1_000_000
 _FULL = 255
+_FINE_FULL = 15
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int) -> list[np.ndarray]:
@@ -105,6 +109,16 @@ def common_levels(texts: DataFrame, words: int) -> np.ndarray:
     return levels
 
 
+def _nibbles(counts: np.ndarray) -> bytes:
+    """Two counts a byte; one of _FINE_FULL may be any number from there."""
+    low = np.minimum(counts, _FINE_FULL).astype(np.uint8)
+    return (low[0::2] | low[1::2] << 4).tobytes()
+
+
+def _counts(nibbles: np.ndarray) -> np.ndarray:
+    return np.stack([nibbles & 15, nibbles >> 4], axis=1).ravel()
+
+
 def _described(levels: np.ndarray, words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,8 +136,8 @@ def _described(levels: np.ndarray, words: int):
                     short = (prefix >> np.uint64(20)).astype(np.uint32).view(np.int32)
                     bits = max(7, (len(own) // 2).bit_length())
                     fine = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-                    held = [np.minimum(x, _FULL).astype(np.uint8).tobytes() for x in (points, fine)]
-                    rows.append((len(own), *_signature(own), short, *held))
+                    point = np.minimum(points, _FULL).astype(np.uint8).tobytes()
+                    rows.append((len(own), *_signature(own), short, point, _nibbles(fine)))
                 columns = list(zip(*rows))
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary())
                 arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
@@ -148,7 +162,7 @@ def _fine_link(na: int, fa: np.ndarray, nb: int, fb: np.ndarray) -> bool:
     """The same on count vectors of 2**k groups each; neighbouring groups of the longer one are merged."""
     if len(fa) < len(fb):
         fa, fb = fb, fa
-    full = (fa == _FULL).any() and (fb == _FULL).any()
+    full = (fa == _FINE_FULL).any() and (fb == _FINE_FULL).any()
     fa = fa.reshape(len(fb), -1).sum(axis=1, dtype=np.int64)
     return bool(full or 7 * int(np.minimum(fa, fb).sum()) >= 3 * (na + nb))
 
@@ -156,7 +170,7 @@ def _fine_link(na: int, fa: np.ndarray, nb: int, fb: np.ndarray) -> bool:
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, times, na, fa, nb, fb) that may link."""
     for batch in batches:
-        fa, fb = ([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in batch.column(i)] for i in (4, 6))
+        fa, fb = ([_counts(np.frombuffer(x.as_buffer(), dtype=np.uint8)) for x in batch.column(i)] for i in (4, 6))
         na, nb = batch.column(3).to_pylist(), batch.column(5).to_pylist()
         ok = [_fine_link(*x) for x in zip(na, fa, nb, fb)]
         yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b", "times"])
@@ -243,9 +257,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
 
-def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """The pairs of classes whose sets link. Only the sets of classes in pairs are built, once a task."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+def class_sets(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(cid, own) of the classes in pairs, and of no others; each task builds a set once."""
+    ends = [pairs.select(F.col(end).alias("cid")).distinct() for end in ("a", "b")]
+    ends = ends[0].union(ends[1]).distinct()
     needed = freeze(ends.join(classes.select("cid", "s1", "s2"), "cid"))
     table = bit_table(needed, "s1", FILTER_BITS)
 
@@ -266,7 +281,11 @@ def verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["s1", "s2", "own"])
 
     sets = texts.mapInArrow(work, "s1 long, s2 long, own binary").join(needed, ["s1", "s2"])
-    sets = sets.groupBy("cid").agg(F.first("own").alias("own"))
+    return sets.groupBy("cid").agg(F.first("own").alias("own"))
+
+
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of classes whose sets link."""
     joined = pairs.join(sets.select(F.col("cid").alias("a"), F.col("own").alias("own_a")), "a")
     joined = joined.join(sets.select(F.col("cid").alias("b"), F.col("own").alias("own_b")), "b")
     return joined.select("a", "b", "own_a", "own_b").mapInArrow(_verified, "a long, b long")
@@ -303,12 +322,15 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(cid, comp) for every node of the edges (a, b): comp is the least node it reaches.
 
-    Each task first reduces its own edges to stars; then large-star and small-star steps alternate
-    until no edge changes, each cut off by a checkpoint.
+    Each task first reduces its own edges to stars. Edges that fit one task, with no more than EDGES_A_TASK ends, are
+    done with that; otherwise large-star and small-star steps alternate until no edge changes, each cut
+    off by a checkpoint.
     """
     edges = freeze(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    tasks = max(4, edges.count() // EDGES_A_TASK)
-    stars = freeze(edges.coalesce(tasks).mapInArrow(_forest, "a long, b long"))
+    number = edges.count()
+    if 2 * number <= EDGES_A_TASK:
+        return edges.coalesce(1).mapInArrow(_forest, "a long, b long").toDF("cid", "comp")
+    stars = freeze(edges.coalesce(max(4, number // EDGES_A_TASK)).mapInArrow(_forest, "a long, b long"))
     before = None
     while True:
         both = stars.union(stars.select("b", "a"))
@@ -323,6 +345,36 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def rest_of_links(
+    pairs: DataFrame, links: DataFrame, joined: DataFrame, classes: DataFrame, texts: DataFrame, words: int
+) -> tuple[DataFrame, DataFrame]:
+    """All links and the components (cid, comp) they make, once the candidate pairs are decided as well.
+
+    Only pairs of two components matter. Of the pairs of the same two components, FIRST_PAIRS are verified; then the
+    components are made anew, pairs that are inside one by now are left out, and MORE_PAIRS times as many are
+    taken, until no pair is left. A class outside a large group of near copies has a pair with each of them, but
+    needs one link.
+    """
+    pairs = freeze(pairs)
+    sets = freeze(class_sets(pairs, classes, texts, words))
+    most = FIRST_PAIRS
+    while True:
+        for end in ("a", "b"):
+            comp = joined.select(F.col("cid").alias(end), F.col("comp").alias(f"comp_{end}"))
+            pairs = pairs.join(comp, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+        between = [F.least("comp_a", "comp_b"), F.greatest("comp_a", "comp_b")]
+        turn = F.row_number().over(Window.partitionBy("one", "two").orderBy(F.xxhash64("a", "b"), "a", "b"))
+        apart = pairs.where("comp_a <> comp_b").select("a", "b", between[0].alias("one"), between[1].alias("two"))
+        ranked = freeze(apart.select("a", "b", turn.alias("turn")))
+        if ranked.isEmpty():
+            return links, joined
+        found = freeze(verify(ranked.where(F.col("turn") <= most).select("a", "b"), sets))
+        links = links.union(found)
+        joined = freeze(components(joined.select(F.col("cid").alias("a"), F.col("comp").alias("b")).union(found)))
+        pairs = ranked.where(F.col("turn") > most).select("a", "b")
+        most *= MORE_PAIRS
+
+
 def packed(points: DataFrame) -> DataFrame:
     """Points (shingle, main, listed, p) in leaves of LEAF, by size within their shingle."""
     by_size = Window.partitionBy("shingle").orderBy("p.n", "p.cid")
@@ -379,7 +431,7 @@ def near_duplicates(
     pairs = pairs.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("times"))
     closest = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b"))
     pairs = freeze(may_link(pairs, classes).withColumn("turn", closest).where(F.col("turn") <= FIRST_PAIRS).select("a", "b"))
-    links = freeze(verify(pairs, classes, texts, words))
+    links = freeze(verify(pairs, class_sets(pairs, classes, texts, words)))
     joined = freeze(components(links))
 
     with_comp = shared.join(joined, "cid", "left").select("shingle", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
@@ -404,9 +456,8 @@ def near_duplicates(
     across = across.select("shingle", F.col("points").alias("left"), "right")
     more = freeze(alone.unionByName(across).mapInArrow(_leaf_pairs, "a long, b long").distinct())
     more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = freeze(may_link(more.withColumn("times", F.lit(1).cast("long")), classes).select("a", "b"))
-    links = freeze(links.union(verify(more, classes, texts, words)))
-    joined = freeze(components(links))
+    more = may_link(more.withColumn("times", F.lit(1).cast("long")), classes).select("a", "b")
+    links, joined = rest_of_links(more, links, joined, classes, texts, words)
 
     of_class = classes.select("cid", "s1", "s2", "least_id").join(joined, "cid", "left")
     of_class = of_class.withColumn("comp", F.coalesce("comp", "cid"))

@@ -66,7 +66,11 @@ def test_odd_rows(odd, empty):
     assert ja.near_duplicates(empty)[0].collect() == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("at_once", [None, 500])
+def test_components(spark, monkeypatch, at_once):
+    """In one task, and in alternating steps."""
+    if at_once:
+        monkeypatch.setattr(ja, "EDGES_A_TASK", at_once)
     rng = random.Random(8)
     edges = [(i, i + 1) for i in range(3000) if i % 500] + [(rng.randrange(4000, 5000), rng.randrange(4000, 5000)) for _ in range(600)]
     rng.shuffle(edges)
@@ -82,3 +86,21 @@ def test_components(spark):
             changed |= top[a] != least or top[b] != least
             top[a] = top[b] = least
     assert rows == {x: t for x, t in top.items() if t != x}
+
+
+def test_fine_counts_keep_the_bound():
+    """Packed counts never bound an overlap below the true one, full ones included."""
+    rng = random.Random(4)
+    for _ in range(300):
+        size = rng.choice([30, 200, 900])
+        common = {rng.getrandbits(64) for _ in range(size)}
+        if rng.random() < 0.2:
+            common = {rng.getrandbits(40) for _ in range(size)}
+        one, two = ({*common, *(rng.getrandbits(64) for _ in range(rng.randrange(size)))} for _ in range(2))
+        sides = []
+        for own in (one, two):
+            bits = max(7, (len(own) // 2).bit_length())
+            counts = ja.np.bincount([x >> (64 - bits) for x in own], minlength=1 << bits)
+            sides += [len(own), ja._counts(ja.np.frombuffer(ja._nibbles(counts), dtype=ja.np.uint8))]
+        if 100 * len(one & two) >= 75 * len(one | two):
+            assert ja._fine_link(*sides)
