@@ -357,21 +357,32 @@ def rest_of_links(
     """
     pairs = freeze(pairs)
     sets = freeze(class_sets(pairs, classes, texts, words))
+    for end in ("a", "b"):
+        comp = joined.select(F.col("cid").alias(end), F.col("comp").alias(f"comp_{end}"))
+        pairs = pairs.join(comp, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    apart = pairs.select("a", "b", F.least("comp_a", "comp_b").alias("one"), F.greatest("comp_a", "comp_b").alias("two"))
+    turn = F.row_number().over(Window.partitionBy("one", "two").orderBy(F.xxhash64("a", "b"), "a", "b"))
     most = FIRST_PAIRS
     while True:
-        for end in ("a", "b"):
-            comp = joined.select(F.col("cid").alias(end), F.col("comp").alias(f"comp_{end}"))
-            pairs = pairs.join(comp, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
-        between = [F.least("comp_a", "comp_b"), F.greatest("comp_a", "comp_b")]
-        turn = F.row_number().over(Window.partitionBy("one", "two").orderBy(F.xxhash64("a", "b"), "a", "b"))
-        apart = pairs.where("comp_a <> comp_b").select("a", "b", between[0].alias("one"), between[1].alias("two"))
-        ranked = freeze(apart.select("a", "b", turn.alias("turn")))
+        ranked = freeze(apart.where("one <> two").withColumn("turn", turn))
         if ranked.isEmpty():
-            return links, joined
-        found = freeze(verify(ranked.where(F.col("turn") <= most).select("a", "b"), sets))
+            # components of before and the new links make those of now
+            stars = joined.select(F.col("cid").alias("a"), F.col("comp").alias("b"))
+            return links, freeze(components(stars.union(links)))
+        now = ranked.where(F.col("turn") <= most)
+        found = freeze(verify(now.select("a", "b"), sets))
         links = links.union(found)
-        joined = freeze(components(joined.select(F.col("cid").alias("a"), F.col("comp").alias("b")).union(found)))
-        pairs = ranked.where(F.col("turn") > most).select("a", "b")
+        fused = components(now.join(found, ["a", "b"]).select(F.col("one").alias("a"), F.col("two").alias("b")))
+        # the new components are looked up once for each two old ones that have pairs left, not for each pair
+        rest = ranked.where(F.col("turn") > most).select("a", "b", "one", "two")
+        between = rest.select("one", "two").distinct()
+        for end in ("one", "two"):
+            comp = fused.select(F.col("cid").alias(end), F.col("comp").alias(f"new_{end}"))
+            between = between.join(comp, end, "left").withColumn(f"new_{end}", F.coalesce(f"new_{end}", end))
+        between = between.where("new_one <> new_two")
+        apart = rest.join(between, ["one", "two"]).select(
+            "a", "b", F.least("new_one", "new_two").alias("one"), F.greatest("new_one", "new_two").alias("two")
+        )
         most *= MORE_PAIRS
 
 
