@@ -53,8 +53,6 @@ def test_query(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(joined).encode()).hexdigest()
         assert [r[f"n_{kind}"] for kind in pii.KINDS] == [sum(b[0] == k for b in base) for k in range(4)]
         assert set(joined) <= set(r["spans"].split(","))
-        if not base:
-            assert r["spans"] == ""
 
 
 def spans(spark, *texts):
