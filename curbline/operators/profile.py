@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -142,42 +143,121 @@ def range_histogram(df: DataFrame, bands: dict[str, list[Band]] = BANDS) -> Data
     return _one_pass(df, band_entries(bands))
 
 
-def quantile_summary(df: DataFrame, columns: list[str], quantiles: dict[str, float] = QUARTILES) -> DataFrame:
-    """Count, minimum, quantiles and maximum of each column, exact, NULLs left out.
+#: entries of the sketches that bracket a quantile, and how many of its errors a bracket reaches to each side
+SKETCH_ACCURACY = 10_000
+BRACKET_ERRORS = 2
+
+
+def _doubles(columns: list[str]) -> dict[str, Column]:
+    return {name: F.col(f"`{name}`").cast("double") for name in columns}
+
 
-    Values are counted before anything is sorted, so repeated values collapse in
-    the tasks that read them. The counted values are then ranged over tasks, and
-    each part adds what comes before it, so no task holds a whole column. A
-    quantile is the smallest value that at least that share of rows reaches.
+def sketched_ranges(
+    df: DataFrame, columns: list[str], shares: list[float], accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """Per column, in one pass: count, NaNs, min, max and, for each share, values that enclose the quantile.
+
+    Only sketches are shuffled. NaNs are no part of a sketch; they count as the largest values.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-    counted = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    placed = freeze(range_parts(counted, [F.asc("column"), F.asc("value")]))
+    reach = BRACKET_ERRORS / accuracy
+    ends = [min(1.0, max(0.0, share + side)) for share in shares for side in (-reach, reach)]
+    entries = []
+    for name, value in _doubles(columns).items():
+        nan = F.isnan(value)
+        entries.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.count(value).alias("count"),
+                F.count_if(nan).alias("nans"),
+                F.min(value).alias("min"),
+                F.max(value).alias("max"),
+                F.percentile_approx(F.when(~nan, value), ends, accuracy).alias("ends"),
+            )
+        )
+    return _one_pass(df, entries)
 
+
+def bracketed_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """Rows by column and value inside the brackets, and of each gap between them in one row.
+
+    ``at`` is the value, or for a gap the end of the bracket before it (NULL for the first gap). Sorted by at and gap, the
+    counts are in the order of the values. Gaps collapse in the tasks that read them. NULLs and NaNs are left out.
+    """
+    pairs = []
+    for name, value in _doubles(list(brackets)).items():
+        inside = reduce(Column.__or__, [value.between(low, high) for low, high in brackets[name]])
+        passed = [F.when(value > high, F.lit(high)) for _, high in brackets[name]]
+        before = F.greatest(*passed, F.lit(None).cast("double"))
+        known = value.isNotNull() & ~F.isnan(value)
+        at = F.when(inside, value).otherwise(before)
+        pairs.append(F.when(known, F.struct(F.lit(name).alias("column"), at.alias("at"), (~inside).alias("gap"))))
+    placed = df.select(F.explode(F.array(*pairs)).alias("cell")).where("cell is not null").select("cell.*")
+    return placed.groupBy("column", "at", "gap").agg(F.count("*").alias("n"))
+
+
+def _values_at(counted: DataFrame, wanted: dict[str, dict[str, int]]) -> dict[str, dict[str, tuple[float | None, bool]]]:
+    """The value (or gap) that reaches each wanted rank, per column and label, from sorted counts spread over range parts."""
+    placed = freeze(range_parts(counted, [F.asc("column"), F.asc("at"), F.asc("gap")]))
     # at most one row per part and column
     parts = placed.groupBy("_part", "column").agg(F.sum("n").alias("part_rows"))
     before = W.partitionBy("column").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    parts = parts.select(
-        "_part",
-        "column",
-        F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"),
-        F.sum("part_rows").over(W.partitionBy("column")).alias("rows"),
-    )
-
-    inside = W.partitionBy("_part", "column").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    reached = placed.withColumn("in_part", F.sum("n").over(inside)).join(F.broadcast(parts), ["_part", "column"])
+    ahead = parts.select("_part", "column", F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"))
+    inside = W.partitionBy("_part", "column").orderBy("at", "gap").rowsBetween(W.unboundedPreceding, 0)
+    reached = placed.withColumn("in_part", F.sum("n").over(inside)).join(F.broadcast(ahead), ["_part", "column"])
     upto = F.col("rows_before") + F.col("in_part")
-    picked = [
-        F.min(F.when(upto >= F.col("rows") * F.lit(share), F.col("value"))).alias(name)
-        for name, share in quantiles.items()
+    first = {}
+    for label in {label for ranks in wanted.values() for label in ranks}:
+        ranks = [F.when(F.col("column") == name, F.lit(of[label])) for name, of in wanted.items() if label in of]
+        first[label] = F.min(F.when(upto >= F.coalesce(*ranks), F.struct(upto, "at", "gap"))).alias(label)
+    # one row per column
+    rows = reached.groupBy("column").agg(*first.values()).collect()
+    return {row["column"]: {label: (row[label]["at"], row[label]["gap"]) for label in wanted[row["column"]]} for row in rows}
+
+
+def quantile_summary(
+    df: DataFrame, columns: list[str], quantiles: dict[str, float] = QUARTILES, accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """Count, minimum, quantiles and maximum of each column, exact, NULLs left out.
+
+    A quantile is the smallest value that at least that share of rows reaches; NaN is the largest value. A first pass
+    sketches each column, which brackets every quantile between two values. A second one counts the values inside the
+    brackets, some 4 / accuracy of the rows for each quantile, and the gaps between them as one row each; only these
+    are sorted, over as many tasks as they need. A quantile that a sketch misses lies in a known gap, and a further
+    pass counts the values there. The driver holds a row per column.
+    """
+    spark = df.sparkSession
+    shares = list(quantiles.values())
+    sketches = {row["column"]: row for row in sketched_ranges(df, columns, shares, accuracy).collect()}
+    found: dict[str, dict[str, float]] = {name: {} for name in columns}
+    wanted: dict[str, dict[str, int]] = {}
+    brackets: dict[str, list[tuple[float, float]]] = {}
+    for name, sketch in sketches.items():
+        for position, (label, share) in enumerate(quantiles.items()):
+            rank = max(1, math.ceil(sketch["count"] * share))
+            if rank <= sketch["count"] - sketch["nans"]:
+                wanted.setdefault(name, {})[label] = rank
+                brackets.setdefault(name, []).append(tuple(sketch["ends"][2 * position : 2 * position + 2]))
+            elif sketch["count"]:
+                found[name][label] = math.nan
+    while wanted:
+        hits = _values_at(bracketed_counts(df, brackets), wanted)
+        missed: dict[str, dict[str, int]] = {}
+        gaps: dict[str, list[tuple[float, float]]] = {}
+        for name, labels in hits.items():
+            for label, (at, gap) in labels.items():
+                if not gap:
+                    found[name][label] = at
+                    continue
+                low = -math.inf if at is None else at
+                missed.setdefault(name, {})[label] = wanted[name][label]
+                gaps.setdefault(name, []).append((low, min([end for end, _ in brackets[name] if end > low], default=math.inf)))
+        wanted, brackets = missed, gaps
+    rows = [
+        (name, of["count"], of["min"], *[found[name].get(label) for label in quantiles], of["max"])
+        for name, of in sketches.items()
     ]
-    return reached.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        F.min("value").alias("min"),
-        *picked,
-        F.max("value").alias("max"),
-    )
+    values = ", ".join(f"`{label}` double" for label in quantiles)
+    return spark.createDataFrame(rows, f"column string, count long, min double, {values}, max double")
 
 
 def approx_quantile_summary(

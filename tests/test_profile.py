@@ -39,6 +39,48 @@ def test_exact_quantiles_with_hot_values(spark):
             assert row[label] == brute_force_quantile(data, share)
 
 
+def test_only_values_near_a_quantile_are_shuffled(spark):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_000).cast("double").alias("a"))
+    ends = profile.sketched_ranges(df, ["a"], [0.25, 0.5], accuracy=1000).first()["ends"]
+    counted = profile.bracketed_counts(df, {"a": [tuple(ends[:2]), tuple(ends[2:])]})
+    rows = counted.orderBy("at", "gap").collect()
+    assert sum(row["n"] for row in rows) == 200_000
+    assert sum(row["gap"] for row in rows) == 3
+    # two brackets of four errors of the sketch, each widened by its own error
+    assert len(rows) < 2 * 8 * 200_000 / 1000
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("HashAggregate") < plan.index("Exchange")
+    row = profile.quantile_summary(df, ["a"], accuracy=1000).first()
+    assert (row["p25"], row["p50"], row["p75"]) == (49_999.0, 99_999.0, 149_999.0)
+
+
+def test_a_quantile_outside_its_bracket_is_found_in_the_gap(spark, monkeypatch):
+    values = [float(i * i % 997) for i in range(3000)]
+    df = spark.createDataFrame([(v, -v) for v in values], "a double, b double")
+    sketched = profile.sketched_ranges
+
+    def wrong(*args):
+        # brackets that hold no quantile: below all, between values, and above all
+        ends = F.when(F.col("column") == "a", F.array(*[F.lit(x) for x in (-5.0, -4.0, 3.5, 3.6, 2000.0, 2001.0)])).otherwise(F.col("ends"))
+        return sketched(*args).withColumn("ends", ends)
+
+    monkeypatch.setattr(profile, "sketched_ranges", wrong)
+    found = {row["column"]: row for row in profile.quantile_summary(df, ["a", "b"]).collect()}
+    for label, share in profile.QUARTILES.items():
+        assert found["a"][label] == brute_force_quantile(values, share)
+        assert found["b"][label] == brute_force_quantile([-v for v in values], share)
+
+
+def test_quantiles_of_nans_infinities_nulls_and_nothing(spark):
+    data = [(float("nan"), float("-inf"), None), (1.0, 2.0, None), (float("nan"), float("inf"), None), (-0.0, 2.0, None)]
+    df = spark.createDataFrame(data, "`a.b` double, b double, c double")
+    rows = [[str(v) for v in row] for row in profile.quantile_summary(df, ["a.b", "b", "c"]).collect()]
+    assert [v.replace("-0.0", "0.0") for v in rows[0]] == ["a.b", "4", "0.0", "0.0", "1.0", "nan", "nan"]
+    assert rows[1] == ["b", "4", "-inf", "-inf", "2.0", "2.0", "inf"]
+    assert rows[2] == ["c", "0", *["None"] * 5]
+    assert [row["count"] for row in profile.quantile_summary(df.limit(0), ["a.b", "c"]).collect()] == [0, 0]
+
+
 def test_approximate_quantiles_stay_in_their_bound(spark):
     df = spark.range(50_000).select(F.col("id").cast("double").alias("a"))
     row = profile.approx_quantile_summary(df, ["a"], accuracy=1000).first()
