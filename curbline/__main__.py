@@ -26,6 +26,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("zones", help="CSV of the zone dimension")
     parser.add_argument("--check", action="store_true", help="only report which tables are there")
     parser.add_argument("--study", metavar="FOLDER", help="also write profiles and odd rows of all raw months")
+    parser.add_argument("--allow-losses", action="store_true", help="load values as NULL or cut that their types cannot hold")
     parser.add_argument("--publish", metavar="FOLDER", help="publish the tables as Parquet")
     parser.add_argument("--jdbc", metavar="URL", help="publish to a database; JDBC_USER and JDBC_PASSWORD are read")
     parser.add_argument("--upsert-by", choices=STATEMENTS, default="merge", help="statement the database understands")
@@ -35,7 +36,7 @@ def main(arguments: list[str] | None = None) -> int:
     if options.check:
         audit = audit_outputs(spark, options.warehouse, TABLES)
     else:
-        loaded, audit = run_warehouse(spark, options.raw, options.warehouse, options.zones, RAW_SCHEMA)
+        loaded, audit = run_warehouse(spark, options.raw, options.warehouse, options.zones, RAW_SCHEMA, options.allow_losses)
         print("months loaded:", ", ".join(loaded.months) or "none")
     audit.show(truncate=False)
     if options.study:

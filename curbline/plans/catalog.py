@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbline import contracts as C
 from curbline.functions.dates import date_text, month_text
@@ -518,6 +519,18 @@ def load_deliveries(spark, sf_dir):
     return logged.join(merged.agg(F.count("*").alias("detail_rows")), "year_month", "left")
 
 
+@query
+def cast_losses(spark, sf_dir):
+    """What the order months would lose in narrower types than they were written with."""
+    root = scratch_path(spark, "losses")
+    trips = order_raw(spark, sf_dir)
+    write_raw_months(trips, root)
+    narrow = {"passenger_count": T.ByteType(), "trip_distance": T.IntegerType(), "total_amount": T.DecimalType(6, 2)}
+    schema = T.StructType([T.StructField(f.name, narrow.get(f.name, f.dataType)) for f in trips.schema.fields])
+    months = files.discover_months(spark, root).select("month_path").collect()
+    return files.cast_losses(spark, [row["month_path"] for row in months], schema)
+
+
 @query
 def merge_by_key(spark, sf_dir):
     """Trips from the middle day on are delivered again, with another amount and a new column: one row a trip."""

@@ -18,13 +18,16 @@ from curbline.plans.merge import SLICE_BYTES, SLICE_ROWS, one_exchange, plan_row
 from curbline.session import fitted_shuffles, freeze
 from curbline.sinks.parquet import drop_partitions, recover, replace_partitions
 from curbline.sources.files import (
+    cast_losses,
     discover_files,
     is_partitioned,
+    layouts,
     list_files,
     partition_files,
     path_exists,
     read_folders,
     read_raw,
+    refuse_losses,
 )
 
 #: when a row's file was written; a column of tables that are merged by key
@@ -163,9 +166,12 @@ def load_files(
     keys: list[str] | None = None,
     group_bytes: int = GROUP_BYTES,
     merged: Callable[[DataFrame], None] | None = None,
+    allow_losses: bool = False,
 ) -> LoadResult:
     """Merge the listed raw files group by group; ``merged`` is told of each group once its dates are in place.
 
+    A group with values that the schema's types cannot hold is refused before any of it is written, unless ``allow_losses``.
+
     No group depends on a later one, and merging one again changes nothing, so a load that broke off can be repeated.
     Groups follow the months, so each reads back few dates of the one before.
     """
@@ -174,7 +180,10 @@ def load_files(
         paths = sorted(row["path"] for row in group.select("path").collect())
         size = group.agg(F.sum("length")).first()[0]
         with fitted_shuffles(spark, size):
-            raw = read_raw(spark, paths, schema, DELIVERED if keys else None)
+            found = layouts(spark, paths) if schema else None
+            if schema and not allow_losses:
+                refuse_losses(cast_losses(spark, paths, schema, found=found))
+            raw = read_raw(spark, paths, schema, DELIVERED if keys else None, found)
             part = merge_into_detail(spark, clean_detail(raw), detail_path, keys=keys)
         if merged:
             merged(group)
@@ -194,6 +203,7 @@ def load_months(
     pattern: str = MONTH_FILE_PATTERN,
     keys: list[str] | None = None,
     group_bytes: int = GROUP_BYTES,
+    allow_losses: bool = False,
 ) -> LoadResult:
     """Load every month not yet covered, in groups of bounded bytes; nothing is written if none is missing.
 
@@ -203,7 +213,8 @@ def load_months(
     recover(spark, detail_path)
     found = discover_files(spark, raw_dir, pattern)
     missing = plan_months(found.select("year_month").distinct(), list_dates(spark, detail_path))
-    return load_files(spark, found.join(missing, "year_month", "left_semi"), detail_path, schema, keys, group_bytes)
+    files = found.join(missing, "year_month", "left_semi")
+    return load_files(spark, files, detail_path, schema, keys, group_bytes, allow_losses=allow_losses)
 
 
 def list_dates(spark: SparkSession, path: str) -> DataFrame:
@@ -233,6 +244,7 @@ def load_deliveries(
     pattern: str = MONTH_FILE_PATTERN,
     keys: list[str] | None = None,
     group_bytes: int = GROUP_BYTES,
+    allow_losses: bool = False,
 ) -> LoadResult:
     """Load every file that was not loaded yet as it stands now, in groups of bounded bytes.
 
@@ -257,7 +269,7 @@ def load_deliveries(
         entries = entries.select("path", "modified", "length", "year_month", F.coalesce("rows", F.lit(0)).alias("rows"), "batch")
         entries.coalesce(1).write.mode("append").parquet(f"{detail_path}/{DELIVERIES}")
 
-    return load_files(spark, fresh, detail_path, schema, keys, group_bytes, log)
+    return load_files(spark, fresh, detail_path, schema, keys, group_bytes, log, allow_losses)
 
 
 def stale_dates(upstream: DataFrame, downstream: DataFrame, key: str = DATE_KEY, state: str = "modified") -> DataFrame:

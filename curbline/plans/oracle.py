@@ -127,6 +127,15 @@ order_dwd AS (
   FROM (SELECT DISTINCT * FROM order_raw) t
   WHERE {DETAIL_RULES})"""
 
+LOST = """
+lost AS (
+  SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS year_month,
+         [{'name': 'passenger_count', 'lost': passenger_count NOT BETWEEN -128 AND 127},
+          {'name': 'trip_distance', 'lost': trip_distance <> trunc(trip_distance)},
+          {'name': 'total_amount', 'lost': abs(total_amount) > 9999.99
+                                           OR CAST(CAST(total_amount AS decimal(18,2)) AS double) <> total_amount}] AS losses
+  FROM order_raw)"""
+
 FRONT = (RAW, DWD)
 ZONED = (RAW, DWD, ZONE_ROWS, ZONES, LOCATION, LOCATION_ZONE)
 
@@ -435,6 +444,11 @@ def oracle_sql() -> dict[str, str]:
   FROM (SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS year_month, count(*) AS raw_rows FROM order_raw GROUP BY 1) r
   LEFT JOIN (SELECT strftime(trip_date, '%Y-%m') AS year_month, count(*) AS detail_rows FROM order_dwd GROUP BY 1) d
   USING (year_month)""",
+        ),
+        "cast_losses": select(
+            (ORDER_TRIPS, LOST),
+            """SELECT year_month, l.name AS "column", count(*) AS rows, CAST(sum(CAST(l.lost AS integer)) AS bigint) AS lost
+  FROM (SELECT year_month, unnest(losses) AS l FROM lost) GROUP BY 1, 2""",
         ),
         "merge_by_key": select(
             (*FRONT, MIDDLE),

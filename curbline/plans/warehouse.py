@@ -70,10 +70,15 @@ def build_reports(spark: SparkSession, warehouse: str) -> None:
 
 
 def run_warehouse(
-    spark: SparkSession, raw_dir: str, warehouse: str, zone_csv: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    raw_dir: str,
+    warehouse: str,
+    zone_csv: str,
+    schema: T.StructType | None = None,
+    allow_losses: bool = False,
 ) -> tuple[LoadResult, DataFrame]:
     """Load missing months, renew what depends on them, and audit the tables."""
-    loaded = load_months(spark, raw_dir, f"{warehouse}/{C.DETAIL}", schema)
+    loaded = load_months(spark, raw_dir, f"{warehouse}/{C.DETAIL}", schema, allow_losses=allow_losses)
     build_aggregates(spark, warehouse, load_dimension(spark, zone_csv))
     build_reports(spark, warehouse)
     return loaded, audit_outputs(spark, warehouse, TABLES)

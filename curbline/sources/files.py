@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,28 +85,39 @@ def discover_months(spark: SparkSession, raw_dir: str, pattern: str = MONTH_FILE
 FOOTERS_AT_ONCE = 16
 
 
+def layouts(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The paths by the schema of their files."""
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path, schema in zip(paths, schemas):
+        alike.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(alike.values())
+
+
 def read_raw(
-    spark: SparkSession, paths: list[str], schema: T.StructType | None = None, delivered: str | None = None
+    spark: SparkSession,
+    paths: list[str],
+    schema: T.StructType | None = None,
+    delivered: str | None = None,
+    found: list[tuple[T.StructType, list[str]]] | None = None,
 ) -> DataFrame:
     """Raw months as one frame; a column that some months lack is NULL in them.
 
     With a schema each month is cast to it, as types change from month to month
     in ways one Parquet scan cannot read; months alike are one scan. Columns it
     does not name are kept. ``delivered`` names a column to add: when the row's file was written.
+    ``found`` has the layouts of the paths, if the caller has read them already. ``cast_losses`` counts what the
+    casts lose.
     """
 
     def rows(*some: str, merge: bool = False) -> DataFrame:
-        found = spark.read.option("mergeSchema", merge).parquet(*some)
-        return found.withColumn(delivered, F.col("_metadata.file_modification_time")) if delivered else found
+        read = spark.read.option("mergeSchema", merge).parquet(*some)
+        return read.withColumn(delivered, F.col("_metadata.file_modification_time")) if delivered else read
 
     if not schema:
         return rows(*paths, merge=True)
-    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
-        layouts = list(pool.map(lambda path: spark.read.parquet(path).schema.json(), paths))
-    alike: dict[str, list[str]] = {}
-    for path, layout in zip(paths, layouts):
-        alike.setdefault(layout, []).append(path)
-    months = [conform(rows(*same), schema) for same in alike.values()]
+    months = [conform(rows(*same), schema) for _, same in found or layouts(spark, paths)]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), months)
 
 
@@ -125,6 +136,67 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*declared, *[name for name in df.columns if name.lower() not in known])
 
 
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def is_lost(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether a cast changes a value: what its type cannot hold, digits or times cut off; NULL and NaN are no values.
+
+    Text is lost only where it is no value of the type at all, and a float may be the nearest one.
+    """
+    cast = value.try_cast(target)
+    numbers = isinstance(source, T.NumericType) and isinstance(target, T.NumericType)
+    times = isinstance(source, _TEMPORAL) and isinstance(target, _TEMPORAL)
+    lost = cast.isNull()
+    if times or numbers and not isinstance(target, T.FloatType):
+        lost = lost | ~cast.try_cast(source).eqNullSafe(value)
+    known = value.isNotNull()
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan(value)
+    return known & lost
+
+
+def cast_losses(
+    spark: SparkSession,
+    paths: list[str],
+    schema: T.StructType,
+    pattern: str = MONTH_FILE_PATTERN,
+    found: list[tuple[T.StructType, list[str]]] | None = None,
+) -> DataFrame:
+    """Per month and column that is cast to another type: its rows and the values that the cast loses.
+
+    Only the columns of other types are read, and no file of which all types are the declared ones. The
+    counts are those of an aggregate, so tasks that run twice count once.
+    """
+    declared = {field.name.lower(): field for field in schema.fields}
+    counted = [spark.createDataFrame([], "year_month string, column string, rows long, lost long")]
+    for layout, same in found or layouts(spark, paths):
+        entries = []
+        for field in layout.fields:
+            wanted = declared.get(field.name.lower())
+            if wanted and wanted.dataType != field.dataType:
+                lost = F.count_if(is_lost(F.col(f"`{field.name}`"), field.dataType, wanted.dataType))
+                entries.append(F.struct(F.lit(wanted.name).alias("column"), F.count("*").alias("rows"), lost.alias("lost")))
+        if entries:
+            path = F.col("_metadata.file_path")
+            month = F.concat_ws("-", F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2))
+            months = spark.read.parquet(*same).groupBy(F.when(path.rlike(pattern), month).alias("year_month"))
+            counted.append(months.agg(F.array(*entries).alias("entries")).select("year_month", F.inline("entries")))
+    rows = reduce(DataFrame.unionByName, counted)
+    return rows.groupBy("year_month", "column").agg(F.sum("rows").alias("rows"), F.sum("lost").alias("lost"))
+
+
+class CastLossError(ValueError):
+    """Raw values that the declared types cannot hold."""
+
+
+def refuse_losses(losses: DataFrame) -> None:
+    """Raise with the months and columns in which values would be lost; a row a month and column at most is collected."""
+    lost = losses.where(F.col("lost") > 0).orderBy("year_month", "column").collect()
+    if lost:
+        raise CastLossError("; ".join(f"{row['year_month']} {row['column']}: {row['lost']} of {row['rows']} rows" for row in lost))
+
+
 def partition_files(files: DataFrame, key: str = DATE_KEY) -> DataFrame:
     """Per partition value of a file listing: folder, files, bytes, last change, first file name and version.
 

@@ -14,7 +14,7 @@ from curbline.plans.merge import one_exchange, plan_rows
 from curbline.plans.warehouse import TABLES, run_warehouse
 from curbline.session import freeze
 from curbline.sinks.parquet import overwrite
-from curbline.sources.files import list_files, list_partitions, partition_files
+from curbline.sources.files import CastLossError, list_files, list_partitions, partition_files
 from curbline.streaming.detail import start_detail_stream
 from pyspark.sql import functions as F
 
@@ -35,6 +35,23 @@ JANUARY = whole_month(2024, 1) + [trip("2024-02-01 00:10:00", distance=1.0), tri
 FEBRUARY = whole_month(2024, 2) + [trip("2024-02-01 00:20:00", distance=2.0)]
 
 
+def test_a_load_that_would_lose_values_writes_nothing(spark, folder):
+    raw_frame(spark, JANUARY).coalesce(1).write.parquet(f"{folder}/raw/yellow_tripdata_2024-01.parquet")
+    wrong = raw_frame(spark, FEBRUARY).withColumn("passenger_count", F.lit(1.5))
+    wrong.coalesce(1).write.parquet(f"{folder}/raw/yellow_tripdata_2024-02.parquet")
+    schema = raw_frame(spark, []).schema
+    for load in (inc.load_months, inc.load_deliveries):
+        detail = f"{folder}/{load.__name__}"
+        # a group a month: the sound month stays, the other one is refused as a whole
+        with pytest.raises(CastLossError, match="2024-02 passenger_count: 30 of 30 rows"):
+            load(spark, f"{folder}/raw", detail, schema, group_bytes=1)
+        assert {row["trip_date"].month for row in list_partitions(spark, detail).collect()} == {1, 2}
+        assert list_partitions(spark, detail).count() == 32
+        load(spark, f"{folder}/raw", detail, schema, allow_losses=True)
+        assert list_partitions(spark, detail).count() == 60
+        assert set(row["passenger_count"] for row in spark.read.parquet(detail).collect()) == {1}
+
+
 def test_boundary_date_is_the_distinct_union(spark, folder):
     detail = f"{folder}/detail"
     write_month(spark, folder, "2024-01", JANUARY)

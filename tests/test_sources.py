@@ -7,6 +7,7 @@ from curbline.contracts import RAW_SCHEMA
 from curbline.sinks.parquet import replace_partitions
 from curbline.sources import files
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def single_file(df, path, work):
@@ -89,6 +90,38 @@ def test_months_of_other_types_are_cast(spark, folder):
     assert rows_of(raw.select("passenger_count", "PULocationID", "extra")) == [(None, 8, "x"), (2, 7, None)]
 
 
+def test_values_lost_in_casts_are_counted(spark, folder):
+    month = f"{folder}/yellow_tripdata_2022-0%d.parquet"
+    spark.sql(
+        """SELECT * FROM VALUES (5000000000L, 'x', 1.9D, timestamp_ntz'2022-01-05 10:00:00', 0.1D, 1),
+                                  (7L, '12', 2.0D, timestamp_ntz'2022-01-05 00:00:00', 1e300D, 2),
+                                  (NULL, NULL, double('NaN'), NULL, NULL, NULL),
+                                  (-1L, ' 3 ', double('inf'), NULL, 0.25D, 3) AS t(big, words, ratio, day, Near, same)"""
+    ).write.parquet(month % 1)
+    spark.sql("SELECT 12.345BD AS ratio, 3 AS big, 9 AS same").write.parquet(month % 2)
+    schema = T.StructType.fromDDL("big int, words int, ratio decimal(10,2), day date, near float, same int, absent int")
+    losses = files.cast_losses(spark, [month % 1, month % 2], schema)
+    assert rows_of(losses) == [
+        ("2022-01", "big", 4, 1),
+        ("2022-01", "day", 4, 1),
+        ("2022-01", "near", 4, 0),
+        ("2022-01", "ratio", 4, 1),
+        ("2022-01", "words", 4, 1),
+        ("2022-02", "ratio", 1, 1),
+    ]
+    with pytest.raises(files.CastLossError, match="2022-01 big: 1 of 4 rows; 2022-01 day: 1 of 4"):
+        files.refuse_losses(losses)
+
+
+def test_files_of_the_declared_types_are_not_read_for_losses(spark, folder):
+    raw_frame(spark, [trip()]).write.parquet(f"{folder}/m")
+    losses = files.cast_losses(spark, [f"{folder}/m"], T.StructType.fromDDL("passenger_count bigint, total_amount double"))
+    assert "FileScan" not in losses._jdf.queryExecution().executedPlan().toString()
+    files.refuse_losses(losses)
+    one = files.cast_losses(spark, [f"{folder}/m"], T.StructType.fromDDL("passenger_count int, total_amount double"))
+    assert "ReadSchema: struct<passenger_count:bigint>" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_months_without_schema_keep_all_columns(spark, folder):
     spark.sql("SELECT 1 AS a").write.parquet(f"{folder}/a")
     spark.sql("SELECT 2 AS a, 'x' AS extra").write.parquet(f"{folder}/b")
