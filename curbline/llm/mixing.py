@@ -3,7 +3,9 @@
 Each row has a hash-random key. Within its source, rows are ordered by that key: the first hex digits
 of the key make the range parts, their sizes are summed per part and the sums accumulated over the
 parts, so a source of any size is spread over many tasks and only the one part that holds its cut is
-ordered row by row. The key depends on the id alone, so reruns and lost tasks agree.
+ordered row by row. The number of digits follows from the rows, so that a part stays small. The key
+depends on the id, or for rows without one on what they hold, and ties are broken by what rows hold, so
+reruns and lost tasks agree.
 
 Only DataFrame functions are used.
 """
@@ -18,7 +20,10 @@ from pyspark.sql.window import Window
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
+#: hex digits of the key that make the ranges: at least, at most, and the rows of a range aimed at
 KEY_DIGITS = 3
+MOST_DIGITS = 6
+RANGE_ROWS = 100_000
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,6 +32,20 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def key_digits(rows: int) -> int:
+    """Digits that cut this many rows into ranges of about RANGE_ROWS or fewer."""
+    digits = KEY_DIGITS
+    while digits < MOST_DIGITS and rows > RANGE_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
+def tie_hash(df: DataFrame) -> Column:
+    """What tells rows of the same id and size apart: a hash of the text, then one of all other columns."""
+    others = [F.col(f"`{name}`") for name in sorted(df.columns) if name != "text"]
+    return F.struct(F.sha2(F.col("text"), 256).alias("text"), F.xxhash64(F.to_json(F.struct(*others))).alias("others"))
+
+
 def targets(
     sized: DataFrame, weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS
 ) -> DataFrame:
@@ -73,23 +92,28 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     most_epochs: int = MOST_EPOCHS,
     seed: str = SEED,
+    tie: str | None = None,
 ) -> DataFrame:
     """Adds source_size, target, copies, part and taken to a frame with doc_id, source and size.
 
     A row is taken whole `copies` times; `part` is how many of its units the last, cut epoch takes, and
     taken = copies * size + part. The sum of taken over a source is its target rounded down, and no row
     is taken more than `most_epochs` times its size. A source without any size gets nothing. Null
-    ids share one key and null sources are one source; rows with the same id follow one another in
-    order of size. Other columns pass through; input columns with the names above are replaced.
+    sources are one source; rows with the same id follow one another in order of size, and of the
+    column `tie` where one is named: it is used for nothing else, dropped, and keys the rows without an id, which share one
+    key without it. Other columns pass through; input columns with the names above are replaced.
     """
-    added = ("source_size", "target", "copies", "part", "taken")
+    added = ("source_size", "target", "copies", "part", "taken", tie)
     given = [F.col(f"`{name}`") for name in sized.columns if name not in added]
     shares = targets(sized.select("source", "size"), weights, most_epochs)
     shares = shares.withColumn(
         "__epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     ).withColumn("__rest", F.floor(F.col("target") - F.col("__epochs") * F.col("source_size")))
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    keyed = sized.select(*given, key.alias("__key")).withColumn("__range", F.substring("__key", 1, KEY_DIGITS))
+    tied = F.col(f"`{tie}`") if tie else F.lit(None).cast("string")
+    unnamed = F.concat(F.lit("null:"), F.to_json(F.struct(tied))) if tie else F.lit("null")
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), unnamed)))
+    keyed = sized.select(*given, key.alias("__key"), tied.alias("__tie"))
+    keyed = keyed.withColumn("__range", F.substring("__key", 1, key_digits(sized.count())))
 
     in_source = Window.partitionBy("source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
@@ -103,7 +127,7 @@ def mix(
     cut = (F.col("__ahead") < F.col("__rest")) & (F.col("__ahead") + F.col("__in_range") > F.col("__rest"))
     # rows of other ranges need no order; spread over their keys, they make no large window group
     in_range = Window.partitionBy("source", "__range", F.when(F.col("__cut"), F.lit("")).otherwise(F.col("__key")))
-    in_range = in_range.orderBy("__key", F.col("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
+    in_range = in_range.orderBy("__key", F.col("doc_id"), "size", "__tie").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("__ahead") + F.coalesce(F.sum("size").over(in_range), F.lit(0))
     left = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("__rest") - F.col("__before")))
     part = F.when(F.col("__cut"), left).when(F.col("__ahead") < F.col("__rest"), F.col("size")).otherwise(0)
@@ -125,13 +149,14 @@ def mix(
 def mixed_rows(df: DataFrame, weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS) -> DataFrame:
     """The mix itself: the rows of `df` (doc_id, source, text and others), each as often as it is taken.
 
-    The row at a source's cut ends after its taken words; all other texts are whole.
+    The row at a source's cut ends after its taken words; all other texts are whole. Rows are told apart by all
+    that they hold, so the mix is the same in whatever order or tasks they are read.
     """
     # other columns are held under reserved names, so that none is taken for one that the mix adds
     held = {name: f"__own{i}" for i, name in enumerate(df.columns) if name not in ("doc_id", "source", "text")}
     sized = df.select(*[F.col(f"`{name}`").alias(held.get(name, name)) for name in df.columns])
-    sized = sized.withColumn("size", word_count("text"))
-    mixed = mix(sized, weights, most_epochs)
+    sized = sized.withColumns({"size": word_count("text"), "__same": tie_hash(sized)})
+    mixed = mix(sized, weights, most_epochs, tie="__same")
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     start = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), "")
     whole = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))

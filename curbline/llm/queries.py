@@ -111,8 +111,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
-    return mixing.mix(freeze(sized)).select("doc_id", "size", "source_size", "target", "taken")
+    sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"), F.xxhash64("text").alias("tie"))
+    return mixing.mix(freeze(sized), tie="tie").select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

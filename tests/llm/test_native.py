@@ -1,5 +1,6 @@
 """Sharding and mixing: laws, edge cases, and no Python in their plans."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -95,6 +96,29 @@ def test_mixed_rows_hold_the_taken_words(spark):
     assert {k: v for k, v in taken.items() if v} == dict(found)
 
 
+def test_rows_without_ids_are_mixed_alike_in_any_order(spark):
+    pick = random.Random(5)
+    # texts of equal size, with and without an id that repeats, and rows that differ in another column alone
+    rows = [(None, "a", f"w{i} x{pick.random()} y z", i) for i in range(60)]
+    rows += [(7, "b", f"w{i} x y z", i) for i in range(60)] + [(None, "c", "same words here", i) for i in range(60)]
+    found = []
+    for seed in range(3):
+        shuffled = random.Random(seed).sample(rows, len(rows))
+        df = spark.createDataFrame(shuffled, "doc_id long, source string, text string, size int").repartition(seed + 1)
+        found.append(sorted(map(str, mixing.mixed_rows(df).collect())))
+    assert found[0] == found[1] == found[2]
+    # the rows without an id do not share one key
+    sized = spark.createDataFrame(rows, "doc_id long, source string, text string, own int").withColumn("size", F.lit(4).cast("long"))
+    for tie in (None, "text"):
+        keys = mixing.mix(sized, tie=tie)._jdf.queryExecution().analyzed().toString()
+        assert ("null:" in keys) == bool(tie)
+    assert "text" not in mixing.mix(sized, tie="text").columns
+
+
+def test_ranges_grow_with_the_rows():
+    assert [mixing.key_digits(n) for n in (0, 10**8, 4 * 10**8 + 10**7, 10**10, 10**11, 10**15)] == [3, 3, 4, 5, 5, 6]
+
+
 def test_no_python_in_the_plans(spark):
     for name in ("op7_sharding", "op8_mixing"):
         plan = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
