@@ -13,6 +13,7 @@ by a skip edge to a token of that kind, becomes a further span.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -83,12 +84,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _shape(token: str) -> int:
-    kinds = re.sub(r"[0-9]+", lambda m: f"9{min(len(m.group()), 20)}", token)
-    kinds = re.sub(r"[^\W\d_]+", "a", kinds)[:40]
-    code = 0
-    for c in kinds:
-        code = (code * 131 + ord(c)) % 1_000_003
-    return code % SHAPES
+    kinds = re.sub(r"[0-9]+", lambda m: f"9{len(m.group())}", token)
+    return zlib.crc32(re.sub(r"[^\W\d_]+", "a", kinds).encode()) % SHAPES
 
 
 def _digits(text: str) -> str:

@@ -118,3 +118,9 @@ def test_odd_rows(odd, empty, documents):
     assert pii.find(empty, pii.learn(empty)).collect() == []
     long = documents("1" * 200_000, "a" * 100_000 + "@", "+1" * 50_000, "1.1.1." * 20_000)
     assert len(pii.find(long, pii.learn(long)).collect()) == 4
+
+
+def test_the_whole_token_makes_its_shape():
+    head = "ab-" * 60
+    assert len({pii._shape(head + tail) for tail in ("1", "@@@9999", "12", "1" * 30, "1" * 31)}) == 5
+    assert pii._shape("x-12@" * 200_000) != pii._shape("x-12@" * 200_000 + "7")
