@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline.contracts import DATE_KEY
 from curbline.operators.enrich import one_row_per_key
+from curbline.session import freeze
 from curbline.sources.files import list_files, partition_files, path_exists
 
 
@@ -139,6 +140,49 @@ def upsert(df: DataFrame, path: str, keys: list[str], partition: str | None = No
     swap_in(merge_by_key(target, source, keys), path)
 
 
+def upsert_buckets(df: DataFrame, path: str, keys: list[str], buckets: int, order: str | None = None) -> None:
+    """Upsert into a table laid out in folders by a hash of the key: only the folders of the source's keys are rewritten.
+
+    The folder column ``bucket_of_<buckets>`` is part of the table, which keeps its number of buckets; choose it so that a
+    bucket is a few files. A key that the source has twice is refused, or with ``order`` its last row there is taken, ties by
+    the row's hash. NULL keys count as equal. Running the same upsert again changes no row.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    bucket = f"bucket_of_{buckets}"
+    listed = list_files(spark, path)
+    laid_out = [name for name in listed.columns if name.startswith("bucket_of_")]
+    if not listed.isEmpty() and laid_out != [bucket]:
+        raise ValueError(f"{path} is not laid out by {bucket}")
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    target = spark.read.option("mergeSchema", True).parquet(path) if laid_out else None
+    if target is not None:
+        # a key has one bucket whatever type the source gives it
+        types = {field.name: field.dataType for field in target.schema.fields}
+        columns = [F.col(f"`{name}`").cast(types[name]).alias(name) if name in keys else F.col(f"`{name}`") for name in df.columns]
+    source = df.select(*columns)
+    named = [F.col(f"`{name}`") for name in keys]
+    if order:
+        row = [F.col(f"`{name}`") for name in df.columns]
+        last = F.max_by(F.struct(*row), F.struct(F.col(f"`{order}`"), F.xxhash64(*row))).alias("row")
+        source = source.groupBy(*named).agg(last).select("row.*")
+    # the null fields of the key are left out of its text, so null keys share a bucket
+    source = source.withColumn(bucket, F.pmod(F.xxhash64(F.to_json(F.struct(*named))), F.lit(buckets)).cast("int"))
+    source = freeze(source)
+    if not order:
+        twice = source.groupBy(*named).count().where("count > 1").select(*named).first()
+        if twice:
+            raise ValueError(f"the source has a key more than once: {twice.asDict()}")
+    if target is None:
+        replace_partitions(source, path, bucket)
+        return
+    # no longer than the number of buckets
+    touched = [row[bucket] for row in source.select(bucket).distinct().collect()]
+    if touched:
+        held = target.where(F.col(bucket).isin(touched))
+        replace_partitions(merge_by_key(held, source, keys), path, bucket)
+
+
 def swap_in(df: DataFrame, path: str) -> None:
     """Write beside the table, which ``df`` may read, and rename; both copies are whole until the end."""
     spark = df.sparkSession

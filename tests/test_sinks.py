@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import os
 
 import pytest
 from trips import rows_of
@@ -174,3 +175,34 @@ def test_replacement_that_was_not_staged_whole_is_given_up(spark, folder):
     parquet.replace_partitions(dated(spark, [(D2, 2)]), path)
     assert rows_of(spark.read.parquet(path).select("trip_date", "n")) == [(D1, 1), (D2, 2)]
     assert glob.glob(f"{path}/_staging*") == []
+
+
+def test_bucketed_upsert_rewrites_only_touched_folders(spark, folder):
+    path = f"{folder}/t"
+    schema = "k long, v string"
+    parquet.upsert_buckets(spark.createDataFrame([(i, "old") for i in range(200)] + [(None, "old")], schema), path, ["k"], 16)
+    before = set(glob.glob(f"{path}/*/*.parquet"))
+    assert len({os.path.dirname(name) for name in before}) == 16
+    for _ in range(2):
+        # another type of the key, and a new column
+        parquet.upsert_buckets(spark.createDataFrame([(7, "new", 1)], "k int, v string, extra int"), path, ["k"], 16)
+    after = set(glob.glob(f"{path}/*/*.parquet"))
+    assert len({os.path.dirname(name) for name in before ^ after}) == 1
+    parquet.upsert_buckets(spark.createDataFrame([(None, "new"), (500, "new")], schema), path, ["k"], 16)
+    rows = spark.read.option("mergeSchema", True).parquet(path).select("k", "v", "extra").collect()
+    assert len(rows) == 202
+    assert {(r["k"], r["extra"]) for r in rows if r["v"] == "new"} == {(7, 1), (None, None), (500, None)}
+    with pytest.raises(ValueError, match="not laid out"):
+        parquet.upsert_buckets(spark.createDataFrame([(1, "x")], schema), path, ["k"], 8)
+
+
+def test_bucketed_upsert_of_keys_that_repeat(spark, folder):
+    path = f"{folder}/t"
+    twice = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k long, v string, at int")
+    with pytest.raises(ValueError, match="more than once"):
+        parquet.upsert_buckets(twice, path, ["k"], 4)
+    assert not os.path.exists(path)
+    parquet.upsert_buckets(twice, path, ["k"], 4, order="at")
+    assert rows_of(spark.read.parquet(path).select("k", "v")) == [(1, "b"), (2, "c")]
+    parquet.upsert_buckets(twice.limit(0), path, ["k"], 4)
+    assert spark.read.parquet(path).count() == 2
