@@ -618,6 +618,18 @@ def upsert_by_key(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def upsert_last_order(spark, sf_dir):
+    """The last order of each customer, from two deliveries of orders, in a table laid out in 32 buckets."""
+    orders = table(spark, sf_dir, "orders")
+    late = F.to_date("o_orderdate") >= F.lit(middle_day(orders, "o_orderdate"))
+    path = scratch_path(spark, "last_orders")
+    for part in (orders.where(~late), orders.where(late)):
+        last = part.select("o_custkey", "o_orderkey", "o_totalprice")
+        parquet.upsert_buckets(last, path, ["o_custkey"], 32, order="o_orderkey")
+    return spark.read.parquet(path).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
 @query
 def publish_replace(spark, sf_dir):
     first, _, _ = deliveries(spark, sf_dir)

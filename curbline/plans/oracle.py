@@ -482,6 +482,12 @@ SELECT o_custkey, order_count, total_price FROM totals WHERE late
 UNION ALL
 SELECT o_custkey, order_count, total_price FROM totals t WHERE NOT late
   AND NOT EXISTS (SELECT 1 FROM totals n WHERE n.late AND n.o_custkey = t.o_custkey)""",
+        "upsert_last_order": """WITH middle AS (
+  SELECT CAST(min(o_orderdate) AS date)
+         + CAST(date_diff('day', CAST(min(o_orderdate) AS date), CAST(max(o_orderdate) AS date)) // 2 AS integer) AS day
+  FROM orders)
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders, middle
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS date) >= day DESC, o_orderkey DESC) = 1""",
         "publish_replace": SELECT_HOURLY,
         "nan_to_null_columns": select(
             (RAW,),
