@@ -10,7 +10,6 @@ n-grams of the words found in neither, are joined. Where the line is drawn chang
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,7 +28,6 @@ FALL_BACK = 0.5
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _WORD = tb.byte_class((0x61, 0x7A), (0x80, 0xFF))
 _FIRST = ~tb.byte_class((0x80, 0xBF))
 
@@ -276,7 +274,7 @@ def identify(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                     before = np.concatenate([[0], np.cumsum(tb.LOWER[data] - 97 < 26, dtype=np.int64)])
                     lettered = before[bounds[1:]] > before[bounds[:-1]]
                     for i in np.flatnonzero(~lettered):
-                        lettered[i] = bool(_LETTER.search(data[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8")))
+                        lettered[i] = any(map(str.isalpha, data[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8")))
                 of = pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row), batch.column(1).slice(first, n), pa.array(lettered), pa.array(list(total), pa.list_(pa.float64())), *of],

@@ -90,3 +90,10 @@ def test_odd_rows(odd, empty):
     assert rows[6]["lang_pred"] == "en"
     assert la.identify(empty, model).collect() == []
     assert {r["lang_pred"] for r in la.identify(odd, la.learn(empty)).collect()} == {"und"}
+
+
+def test_number_signs_are_no_letters(spark, odd):
+    texts = ["½ ² ①", "Ⅷ ⅷ 12", "٣ ४ _", "ª", "ж", "12 é", "中", "ǅ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["lang_pred"] for r in la.identify(docs, la.learn(odd)).collect()}
+    assert [rows[i] == "und" for i in range(len(texts))] == [True] * 3 + [False] * 5
