@@ -69,3 +69,6 @@ ZONE_COLUMNS = ["PULocationID", "Zone", "Borough", "trip_count", "total_revenue"
 
 # Sums by date, hour and zone that every aggregate is rolled up from; not a table of the reports.
 PARTIALS = "dws/trip_partials"
+# Totals by hour and by zone, kept up by the difference of the dates that changed.
+HOURLY_TOTALS = "dws/hourly_totals"
+LOCATION_TOTALS = "dws/location_totals"

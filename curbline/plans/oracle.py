@@ -379,6 +379,8 @@ def oracle_sql() -> dict[str, str]:
         "hourly_metrics": SELECT_HOURLY,
         "location_metrics": select((*FRONT, LOCATION), "SELECT * FROM location"),
         "rolled_up_hourly": SELECT_HOURLY,
+        "maintained_hourly": SELECT_HOURLY,
+        "maintained_locations": select((*FRONT, LOCATION), "SELECT * FROM location"),
         "overall_metrics": select((*ZONED, OVERALL), "SELECT * FROM overall"),
         "total_trips": select(FRONT, "SELECT count(*) AS total_trip_count FROM dwd"),
         "row_count": "SELECT count(*) AS rows FROM lineitem",

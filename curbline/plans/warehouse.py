@@ -10,6 +10,7 @@ from curbline.operators import metrics as M
 from curbline.operators.enrich import location_zone, unmatched_keys
 from curbline.operators.rank import borough_top, location_ranks, top_k
 from curbline.plans.incremental import LoadResult, load_months, refresh_by_date
+from curbline.plans.totals import maintain_totals
 from curbline.sinks.parquet import overwrite
 from curbline.sinks.publish import audit_outputs
 from curbline.sources.files import load_dimension
@@ -37,7 +38,7 @@ def build_aggregates(spark: SparkSession, warehouse: str, zones: DataFrame) -> N
     """Daily, hourly and zone tables.
 
     Detail rows are read once, and only for the dates that changed, to renew
-    their partials; all aggregates are rolled up from the partials.
+    their partials; of the partials, too, only those dates are read to renew the other tables.
     """
     partials_path = f"{warehouse}/{C.PARTIALS}"
     refresh_by_date(
@@ -49,10 +50,11 @@ def build_aggregates(spark: SparkSession, warehouse: str, zones: DataFrame) -> N
         f"{warehouse}/{C.DAILY}",
         lambda partials: M.metrics_from_partials(partials, [C.DATE_KEY], M.DAILY_MEASURES),
     )
-    partials = spark.read.parquet(partials_path)
-    hourly = M.metrics_from_partials(partials, ["pickup_hour"], M.HOURLY_MEASURES)
+    hours = maintain_totals(spark, partials_path, f"{warehouse}/{C.HOURLY_TOTALS}", ["pickup_hour"], M.HOURLY_MEASURES)
+    hourly = M.finish_metrics(hours, ["pickup_hour"], M.HOURLY_MEASURES)
     overwrite(hourly.orderBy("pickup_hour"), f"{warehouse}/{C.HOURLY}")
-    locations = M.metrics_from_partials(partials, ["PULocationID"], M.LOCATION_MEASURES)
+    places = maintain_totals(spark, partials_path, f"{warehouse}/{C.LOCATION_TOTALS}", ["PULocationID"], M.LOCATION_MEASURES)
+    locations = M.finish_metrics(places, ["PULocationID"], M.LOCATION_MEASURES)
     overwrite(location_ranks(locations), f"{warehouse}/{C.LOCATION}")
     ranked = spark.read.parquet(f"{warehouse}/{C.LOCATION}")
     overwrite(location_zone(ranked, zones), f"{warehouse}/{C.LOCATION_ZONE}")
