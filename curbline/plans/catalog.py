@@ -683,6 +683,27 @@ def publish_report(spark, sf_dir):
     return publish.publish_report(spark, root, sink).drop("message")
 
 
+@query
+def publish_again(spark, sf_dir):
+    """Two publishings of daily metrics and a top list: the first has the days up to the middle, the second those from it.
+
+    The daily table keeps the days that the second lacks; the top list has no zone that left it.
+    """
+    first, second, _ = deliveries(spark, sf_dir)
+    root = scratch_path(spark, "twice")
+    sink = publish.ParquetSink(f"{root}/out")
+    jobs = [publish.Publication(C.DAILY, "daily", (C.DATE_KEY,)), publish.Publication(C.TOP_TRIPS, "top")]
+    for part in (first, second):
+        trips = clean.clean_detail(part)
+        parquet.overwrite(metrics.daily_metrics(trips), f"{root}/{C.DAILY}")
+        places = enrich.location_zone(metrics.location_metrics(trips), zones(spark, sf_dir))
+        parquet.overwrite(warehouse.top_zones(places, "trip_count"), f"{root}/{C.TOP_TRIPS}")
+        publish.publish_report(spark, root, sink, jobs)
+    daily = sink.read(spark, "daily").select(F.lit("daily").alias("published"), F.col(C.DATE_KEY).cast("string").alias("key"), "trip_count")
+    top = sink.read(spark, "top").select(F.lit("top").alias("published"), F.col("PULocationID").cast("string").alias("key"), "trip_count")
+    return daily.unionByName(top)
+
+
 @query
 def audit_outputs(spark, sf_dir):
     _, audit = built_warehouse(spark, sf_dir)

@@ -497,6 +497,21 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS d
             " AS fare_per_distance FROM raw_trips",
         ),
         "publish_report": select((*ZONED, DAILY, HOURLY, BOROUGH), published),
+        "publish_again": select(
+            (
+                *FRONT,
+                MIDDLE,
+                """
+parts AS (
+  SELECT dwd.*, tpep_pickup_datetime >= CAST(day AS timestamp) + INTERVAL 6 HOUR AS late, trip_date = day AS shared
+  FROM dwd, middle)""",
+            ),
+            """(SELECT 'daily' AS published, CAST(trip_date AS varchar) AS key, count(*) AS trip_count
+ FROM parts WHERE late OR NOT shared GROUP BY trip_date)
+UNION ALL
+(SELECT 'top', CAST(PULocationID AS varchar), count(*) FROM parts WHERE late
+ GROUP BY PULocationID ORDER BY count(*) DESC, PULocationID LIMIT 10)""",
+        ),
         "audit_outputs": select(FRONT, audited),
         "warehouse_daily": SELECT_DAILY,
         "reconcile_counts": select((*ZONED, DAILY, HOURLY, OVERALL), reconciled),

@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+import threading
 
 import pytest
 from trips import rows_of
@@ -131,17 +132,116 @@ def test_published_tables_have_their_keys():
 
 def test_merge_statements():
     assert jdbc.merge_statement("t", "s", ["k", "a"], ["k"]) == (
-        "MERGE INTO t t USING s s ON t.k = s.k WHEN MATCHED THEN UPDATE SET t.a = s.a"
+        "MERGE INTO t t USING s s ON t.k = s.k WHEN MATCHED THEN UPDATE SET a = s.a"
         " WHEN NOT MATCHED THEN INSERT (k, a) VALUES (s.k, s.a)"
     )
     assert jdbc.duplicate_key_statement("t", "s", ["k", "a"], ["k"]) == (
         "INSERT INTO t (k, a) SELECT k, a FROM s ON DUPLICATE KEY UPDATE a = VALUES(a)"
     )
+    only_keys = jdbc.merge_statement("t", "s", ["k"], ["k"])
+    assert only_keys == "MERGE INTO t t USING s s ON t.k = s.k WHEN NOT MATCHED THEN INSERT (k) VALUES (s.k)"
 
 
-def test_column_types(spark):
-    df = spark.sql("SELECT 'x' AS s, 1 AS n, cast(1 AS decimal(10,2)) AS d")
-    assert jdbc.column_types(df) == "s VARCHAR(255), d DECIMAL(20,4)"
+RANKS = ["rank", "row_number", "zone"]
+
+
+def test_merge_statements_quote_names():
+    quote = '"{}"'.format
+    assert jdbc.merge_statement("t", "s", RANKS, ["zone"], quote) == (
+        'MERGE INTO t t USING s s ON t."zone" = s."zone" WHEN MATCHED THEN UPDATE SET "rank" = s."rank", "row_number" = s."row_number"'
+        ' WHEN NOT MATCHED THEN INSERT ("rank", "row_number", "zone") VALUES (s."rank", s."row_number", s."zone")'
+    )
+    assert jdbc.duplicate_key_statement("t", "s", RANKS, ["zone"], "`{}`".format) == (
+        "INSERT INTO t (`rank`, `row_number`, `zone`) SELECT `rank`, `row_number`, `zone` FROM s"
+        " ON DUPLICATE KEY UPDATE `rank` = VALUES(`rank`), `row_number` = VALUES(`row_number`)"
+    )
+
+
+def ranked(spark):
+    return spark.sql("SELECT 1L AS rank, 'a' AS zone, 2.5D AS x, CAST(1 AS decimal(12,2)) AS d, 'long' AS note")
+
+
+def test_only_texts_of_a_key_have_a_length(spark):
+    assert jdbc.column_types(ranked(spark), ["zone"]) == "`zone` VARCHAR(255)"
+    assert jdbc.column_types(ranked(spark), []) == ""
+
+
+@pytest.mark.parametrize(
+    "url, columns",
+    [
+        (
+            "jdbc:mysql://host/db",
+            "`rank` BIGINT NOT NULL, `zone` VARCHAR(255) NOT NULL, `x` DOUBLE PRECISION NOT NULL, `d` DECIMAL(12,2) NOT NULL,"
+            " `note` LONGTEXT NOT NULL, PRIMARY KEY (`zone`)",
+        ),
+        (
+            "jdbc:postgresql://host/db",
+            '"rank" BIGINT NOT NULL, "zone" VARCHAR(255) NOT NULL, "x" FLOAT8 NOT NULL, "d" NUMERIC(12,2) NOT NULL,'
+            ' "note" TEXT NOT NULL, PRIMARY KEY ("zone")',
+        ),
+    ],
+)
+def test_create_statement(spark, url, columns):
+    assert jdbc.create_statement(ranked(spark), url, "t", ["zone"]) == f"CREATE TABLE t ({columns})"
+
+
+def test_created_keys_are_never_null(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, n int")
+    statement = jdbc.create_statement(df, "jdbc:mysql://host/db", "t", ["k"])
+    assert statement == "CREATE TABLE t (`k` INTEGER NOT NULL, `n` INTEGER , PRIMARY KEY (`k`))"
+
+
+class RecordingSink(jdbc.JdbcSink):
+    """Keeps the statements instead of sending them."""
+
+    def __init__(self, url):
+        super().__init__(url)
+        self.sent, self.tables, self.fails = [], set(), False
+
+    def fill(self, df, table, keys):
+        self.sent.append(f"fill {table}")
+
+    def exists(self, df, table):
+        return table in self.tables
+
+    def execute(self, df, statement):
+        self.sent.append(statement.split(" (")[0])
+        if self.fails and statement.startswith("MERGE"):
+            raise RuntimeError("no merge")
+
+
+def test_upsert_creates_merges_and_drops_its_staging_table(spark):
+    sink = RecordingSink("jdbc:postgresql://host/db")
+    df = spark.createDataFrame([(1, 2)], "k int, rank int")
+    sink.upsert(df, "t", ["k"])
+    assert [text.split(" USING")[0] for text in sink.sent] == ["fill t_staging", "CREATE TABLE t", "MERGE INTO t t", "DROP TABLE t_staging"]
+    assert 't."k" = s."k"' in sink.sent[2]
+    sink.sent, sink.tables = [], {"t"}
+    sink.upsert(df, "t", ["k"])
+    assert [text.split()[0] for text in sink.sent] == ["fill", "MERGE", "DROP"]
+    sink.sent, sink.fails = [], True
+    with pytest.raises(RuntimeError, match="no merge"):
+        sink.upsert(df, "t", ["k"])
+    assert sink.sent[-1] == "DROP TABLE t_staging"
+    for keys in ([], ["none"]):
+        with pytest.raises(ValueError, match="no key columns"):
+            sink.upsert(df, "t", keys)
+
+
+def test_tables_are_published_at_once_and_each_only_once(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/w/t")
+    barrier = threading.Barrier(3, timeout=60)
+
+    class Waiting(publish.ParquetSink):
+        def replace(self, df, table):
+            barrier.wait()
+            super().replace(df, table)
+
+    jobs = [publish.Publication("t", name) for name in ("a", "b", "c")]
+    report = publish.publish_report(spark, f"{folder}/w", Waiting(f"{folder}/out"), jobs)
+    assert rows_of(report.select("table", "status", "target_rows")) == [("a", "ok", 3), ("b", "ok", 3), ("c", "ok", 3)]
+    with pytest.raises(ValueError, match="twice"):
+        publish.publish_report(spark, f"{folder}/w", Waiting(f"{folder}/out"), [jobs[0], jobs[0]])
 
 
 def test_replacement_that_broke_off_is_finished(spark, folder, monkeypatch):
