@@ -177,7 +177,8 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", vocabulary: int
     counted = rows.mapInArrow(_count(1, languages), "kind int, key long, lang int, times long")
     sums = [F.sum(F.when(F.col("lang") == j, F.col("times")).otherwise(0)).alias(f"n{j}") for j in range(len(languages))]
     path = scratch_path(spark, "language")
-    counted.groupBy("kind", "key").agg(F.sum("times").alias("times"), *sums).write.parquet(path)
+    counted = counted.groupBy("kind", "key").agg(F.sum("times").alias("times"), *sums)
+    counted.write.option("compression", "zstd").parquet(path)
     counted = spark.read.parquet(path)
     by_kind = counted.groupBy("kind").agg(F.count("key").alias("entries"), *[F.sum(c).alias(c) for c in counted.columns[2:]])
     totals = {r["kind"]: r for r in by_kind.collect()}
@@ -214,7 +215,8 @@ def _rest_scores(spark: SparkSession, model: Model, words: DataFrame) -> DataFra
         parts.append(counts.where(F.col("kind") == kind).select("kind", "key", logs.alias("v")))
     known = parts[list(model.whole).index(0)].select("key", "v")
     grams = reduce(DataFrame.unionAll, [part for kind, part in zip(model.whole, parts) if kind])
-    unseen = words.join(known, "key", "left_anti").dropDuplicates(["key"])
+    # each task sends a word once
+    unseen = words.dropDuplicates(["key"]).join(known, "key", "left_anti")
     shared = spark.sparkContext.broadcast(model)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +311,7 @@ def identify(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     found = rows.mapInArrow(work, f"row long, id {kind}, lettered boolean, s array<double>, key long, word string, times long")
     if model.rest:
         path = scratch_path(spark, "texts")
-        found.write.parquet(path)
+        found.write.option("compression", "zstd").parquet(path)
         found = spark.read.parquet(path)
         asked = found.where("key is not null")
         scores = _rest_scores(spark, model, asked.select("key", "word"))
