@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,7 +178,10 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", vocabulary: int
     counted = rows.mapInArrow(_count(1, languages), "kind int, key long, lang int, times long")
     sums = [F.sum(F.when(F.col("lang") == j, F.col("times")).otherwise(0)).alias(f"n{j}") for j in range(len(languages))]
     path = scratch_path(spark, "language")
-    counted = counted.groupBy("kind", "key").agg(F.sum("times").alias("times"), *sums)
+    counted = counted.groupBy("kind", "key").agg(*(sums or [F.sum("times").alias("times")]))
+    if languages:
+        whole_count = reduce(Column.__add__, [F.col(f"n{j}") for j in range(len(languages))])
+        counted = counted.select("kind", "key", whole_count.alias("times"), *[f"n{j}" for j in range(len(languages))])
     counted.write.option("compression", "zstd").parquet(path)
     counted = spark.read.parquet(path)
     by_kind = counted.groupBy("kind").agg(F.count("key").alias("entries"), *[F.sum(c).alias(c) for c in counted.columns[2:]])
@@ -205,28 +209,32 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", vocabulary: int
     return Model(languages, np.log(seen / seen.sum()) if len(seen) else seen, tables, whole, rest)
 
 
-def _rest_scores(spark: SparkSession, model: Model, words: DataFrame) -> DataFrame:
-    """The log scores `v` by word key, for those of the given words (key, word) that have any."""
-    langs = range(len(model.languages))
-    counts = spark.read.parquet(model.rest)
-    parts = []
-    for kind, whole in model.whole.items():
-        logs = F.array(*[F.log((F.col(f"n{j}") + F.lit(SMOOTHING)) / F.lit(float(whole[j]))) for j in langs])
-        parts.append(counts.where(F.col("kind") == kind).select("kind", "key", logs.alias("v")))
-    known = parts[list(model.whole).index(0)].select("key", "v")
-    grams = reduce(DataFrame.unionAll, [part for kind, part in zip(model.whole, parts) if kind])
-    # each task sends a word once
-    unseen = words.dropDuplicates(["key"]).join(known, "key", "left_anti")
-    shared = spark.sparkContext.broadcast(model)
+def _cut(shared: Broadcast):
+    """Per task: what the n-grams of each word (key, word) give, or ask for."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each word, with a null place: the sum over the characters whose n-gram is here at once.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        And one for each n-gram tried at any other character, with its values where it is here.
+        """
         model = shared.value
+        langs = range(len(model.languages))
+        names = ["word_key", "place", "step", "kind", "key", "v"]
         for batch in batches:
             for first, end, data, bounds in tb.slices(batch.column(1).cast(pa.string())):
                 own = Words(data, bounds)
+                n = len(own.keys)
                 name = batch.column(0).slice(first, end - first).to_numpy()
                 name = name[own.text_of[np.unique(own.word_of, return_index=True)[1]]]
-                for step, size, of, place, keys, row in model.best_grams(own, np.arange(len(own.keys))):
+                settled = np.zeros((n, len(langs)))
+                asked = np.zeros(len(own.after), dtype=bool)
+                for step, size, of, place, keys, row in model.best_grams(own, np.arange(n)):
+                    here = (row >= 0) & ~asked[place]
+                    gained = model.tables[size][1][row[here]] - FALL_BACK * step
+                    for j in langs:
+                        settled[:, j] += np.bincount(of[here], weights=gained[:, j], minlength=n)
+                    asked[place[row < 0]] = True
+                    of, place, keys, row = (x[~here] for x in (of, place, keys, row))
                     values = [None if i < 0 else model.tables[size][1][i].tolist() for i in row.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -237,17 +245,51 @@ def _rest_scores(spark: SparkSession, model: Model, words: DataFrame) -> DataFra
                             pa.array(keys.view(np.int64)),
                             pa.array(values, pa.list_(pa.float64())),
                         ],
-                        names=["word_key", "place", "step", "kind", "key", "v"],
+                        names=names,
                     )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(name),
+                        pa.nulls(n, pa.int64()),
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.int32()),
+                        pa.nulls(n, pa.int64()),
+                        pa.array(list(settled), pa.list_(pa.float64())),
+                    ],
+                    names=names,
+                )
+
+    return work
 
+
+def _rest_scores(spark: SparkSession, model: Model, words: DataFrame) -> DataFrame:
+    """Log scores `v` by word key for the given words (key, word), in one or two rows that add up; none for a word without any."""
+    langs = range(len(model.languages))
+    counts = spark.read.parquet(model.rest)
+    parts = []
+    for kind, whole in model.whole.items():
+        logs = F.array(*[F.log((F.col(f"n{j}") + F.lit(SMOOTHING)) / F.lit(float(whole[j]))) for j in langs])
+        parts.append(counts.where(F.col("kind") == kind).select("kind", "key", logs.alias("v")))
+    known = parts[list(model.whole).index(0)].select("key", "v")
+    grams = reduce(DataFrame.unionAll, [part for kind, part in zip(model.whole, parts) if kind])
+    # each task sends a word once
+    unseen = words.dropDuplicates(["key"]).join(known, "key", "left_anti")
     read = unseen.select("key", F.col("word").cast("string")).mapInArrow(
-        cut, "word_key long, place long, step int, kind int, key long, v array<double>"
+        _cut(spark.sparkContext.broadcast(model)), "word_key long, place long, step int, kind int, key long, v array<double>"
     )
-    asked = read.where("v is null").drop("v").join(grams, ["kind", "key"])
-    hits = read.where("v is not null").unionByName(asked).groupBy("word_key", "place")
+    # the words are cut once: what is read from here is used three times
+    path = scratch_path(spark, "grams")
+    read.write.option("compression", "zstd").parquet(path)
+    read = spark.read.parquet(path)
+    settled = read.where("place is null").select(F.col("word_key").alias("key"), "v")
+    tried = read.where("place is not null")
+    asked = tried.where("v is null").drop("v").join(grams, ["kind", "key"])
+    hits = tried.where("v is not null").unionByName(asked).groupBy("word_key", "place")
     hits = hits.agg(F.min("step").alias("step"), F.min_by("v", "step").alias("v"))
     gained = [F.sum(F.col("v")[j] - F.lit(FALL_BACK) * F.col("step")).alias(f"v{j}") for j in langs]
     read_scores = hits.groupBy("word_key").agg(*gained).select(F.col("word_key").alias("key"), F.array(*[f"v{j}" for j in langs]).alias("v"))
+    # a word's values add up, so what its settled and its other characters give may stay two rows
+    read_scores = settled.unionByName(read_scores)
     return known.unionByName(read_scores)
 
 

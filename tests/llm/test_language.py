@@ -2,7 +2,9 @@
 
 import math
 import zlib
+from types import SimpleNamespace
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from curbline.llm import language as la
@@ -82,6 +84,24 @@ def test_rare_entries_count_as_much(spark):
             assert abs(r["score"] - 1 / sum(math.exp(x - top) for x in total.values())) < 1e-9
 
 
+def test_known_characters_are_summed_before_they_are_sent(spark):
+    """A word whose n-grams all are on the worker is one row; only characters that may be better known elsewhere are more."""
+    train = [("the cat sat on the mat", "en")] * 300 + [("die katze auf der matte", "de")]
+    full = la.learn(spark.createDataFrame(train, "text string, lang string"), vocabulary=1 << 40)
+    part = la.learn(spark.createDataFrame(train, "text string, lang string"), vocabulary=64)
+    batch = pa.RecordBatch.from_pydict({"key": [7, 8], "word": ["katz", "atze"]})
+    rows = pa.Table.from_batches(la._cut(SimpleNamespace(value=full))(iter([batch]))).to_pylist()
+    assert [(r["word_key"], r["place"]) for r in rows] in ([(7, None), (8, None)], [(8, None), (7, None)])
+    batch = pa.RecordBatch.from_pydict({"key": [7, 8], "word": ["thecat", "matkatz"]})
+    rows = pa.Table.from_batches(la._cut(SimpleNamespace(value=part))(iter([batch]))).to_pylist()
+    whole = [r for r in rows if r["place"] is None]
+    tried = [r for r in rows if r["place"] is not None]
+    assert len(whole) == 2
+    # no character is both in the sum and among those asked for, and each of these has something to ask
+    assert {(r["word_key"], r["place"]) for r in tried} == {(r["word_key"], r["place"]) for r in tried if r["v"] is None}
+    assert len({(r["word_key"], r["place"]) for r in tried}) < len("thecatmatkatz")
+
+
 def test_odd_rows(odd, empty):
     model = la.learn(odd)
     rows = {r["doc_id"]: r for r in la.identify(odd.withColumn("score", F.lit(1)), model).collect()}
