@@ -7,10 +7,10 @@ where that sum is too small for the threshold, the pair is never compared as set
 twice: on the points, and for pairs left by them on finer count vectors of a group for every two shingles.
 
 Candidates share a shingle of their prefixes (the rarest shingles of a set, so many that two linked
-sets must share one), and so are spread by shingle. The classes at a shingle, ordered by size, are
-linked in two rounds:
+sets must share one), and so are spread by shingle; the smaller set of a pair has one among its rarest
+seventh. The classes at a shingle, ordered by size, are linked in two rounds:
 
-1. Each class is paired with its predecessors. Of the pairs that pass the bound, each class's
+1. Each class is paired with the last one before it that has the shingle among its rarest seventh. Of the pairs that pass the bound, each class's
    FIRST_PAIRS at the most shingles are verified on the sets, and the links give first components; a large group of
    near copies mostly falls into one, at linear cost.
 2. At shingles where several components meet, the points are packed into R-tree leaves of LEAF points
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -83,6 +83,15 @@ def _need(n: np.ndarray | int) -> np.ndarray | int:
     return (3 * n + 3) // 4
 
 
+def _is_rare(place: Column, n: Column) -> Column:
+    """Whether a shingle at this place of a prefix (from 0) is among the first seventh, and one, of its set.
+
+    Two linked sets overlap in six sevenths of the smaller one at least, so that one has a shingle there which the
+    other has in its prefix.
+    """
+    return place * 7 <= n
+
+
 def common_levels(texts: DataFrame, words: int) -> np.ndarray:
     """Per slot of a hashed shingle, how common it is (0 unless it stands out in some task).
 
@@ -115,6 +124,11 @@ def _nibbles(counts: np.ndarray) -> bytes:
     return (low[0::2] | low[1::2] << 4).tobytes()
 
 
+def _point(counts: np.ndarray) -> bytes:
+    """The counts in half a byte each where none is larger, else in a byte; one of _FULL may be any number from there."""
+    return _nibbles(counts) if counts.max() <= _FINE_FULL else np.minimum(counts, _FULL).astype(np.uint8).tobytes()
+
+
 def _counts(nibbles: np.ndarray) -> np.ndarray:
     return np.stack([nibbles & 15, nibbles >> 4], axis=1).ravel()
 
@@ -136,8 +150,7 @@ def _described(levels: np.ndarray, words: int):
                     short = (prefix >> np.uint64(20)).astype(np.uint32).view(np.int32)
                     bits = max(7, (len(own) // 2).bit_length())
                     fine = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-                    point = np.minimum(points, _FULL).astype(np.uint8).tobytes()
-                    rows.append((len(own), *_signature(own), short, point, _nibbles(fine)))
+                    rows.append((len(own), *_signature(own), short, _point(points), _nibbles(fine)))
                 columns = list(zip(*rows))
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary())
                 arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
@@ -155,7 +168,14 @@ def _may_link(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) ->
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
+    """A row for each point, as _point has packed them."""
+    packed = column.to_pylist()
+    points = np.zeros((len(packed), GROUPS), dtype=np.uint8)
+    halved = np.array([len(x) < GROUPS for x in packed], dtype=bool)
+    for kind in (True, False):
+        data = np.frombuffer(b"".join(x for x, half in zip(packed, halved) if half == kind), dtype=np.uint8)
+        points[halved == kind] = (_counts(data) if kind else data).reshape(-1, GROUPS)
+    return points
 
 
 def _fine_link(na: int, fa: np.ndarray, nb: int, fb: np.ndarray) -> bool:
@@ -428,13 +448,20 @@ def near_duplicates(
     )
     classes = freeze(classes).withColumn("cid", F.monotonically_increasing_id())
 
-    # classes at each prefix shingle, by size; those without a neighbour of near size link with none
-    by_size = Window.partitionBy("shingle").orderBy("n", "cid")
-    at_shingle = classes.select("cid", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("shingle"))
-    at_shingle = at_shingle.withColumn("before", F.lag(F.struct("cid", "n")).over(by_size))
-    at_shingle = at_shingle.withColumn("next_n", F.lead("n").over(by_size))
+    # classes at each prefix shingle, by size, those that have it among their rarest first. A link has such a class before
+    # its other end at some shingle; rows without a neighbour of near size that they may link with in this way are left out
+    # (`turn` is twice the size, and one where it is not among them)
+    by_size = Window.partitionBy("shingle").orderBy("turn", "cid")
+    at_shingle = classes.select("cid", "n", F.posexplode("prefix").alias("place", "shingle"))
+    turn = F.col("n") * 2 + (~_is_rare(F.col("place"), F.col("n"))).cast("int")
+    at_shingle = at_shingle.select("cid", turn.alias("turn"), "shingle")
+    is_rare, size = F.col("turn") % 2 == 0, F.shiftright("turn", 1)
+    so_far = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(is_rare, F.struct("cid", size.alias("n"))), ignorenulls=True)
+    at_shingle = at_shingle.withColumn("before", before.over(so_far))
+    at_shingle = at_shingle.withColumn("next_n", F.lead(size).over(by_size)).withColumn("n", size.cast("int"))
     near_before = F.coalesce(F.col("before.n") * 4 >= F.col("n") * 3, F.lit(False))
-    near_next = F.coalesce(F.col("n") * 4 >= F.col("next_n") * 3, F.lit(False))
+    near_next = is_rare & F.coalesce(F.col("n") * 4 >= F.col("next_n") * 3, F.lit(False))
     shared = at_shingle.where(near_before | near_next)
     shared = freeze(shared.select("shingle", "cid", "n", F.when(near_before, F.col("before.cid")).alias("before")))
 
@@ -445,17 +472,22 @@ def near_duplicates(
     links = freeze(verify(pairs, class_sets(pairs, classes, texts, words)))
     joined = freeze(components(links))
 
+    # gathered by shingle once, to see where components meet, and by class once, for its lowest shingles and its point
     with_comp = shared.join(joined, "cid", "left").select("shingle", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
+    with_comp = with_comp.repartition("shingle")
     of_list = with_comp.groupBy("shingle", "comp").agg(F.count("*").alias("k")).groupBy("shingle").agg(
         F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("listed"), F.count("*").alias("comps")
     )
     in_lists = with_comp.join(of_list.where("comps > 1").drop("comps"), "shingle")
-    lowest = F.sort_array(F.collect_list("shingle"))
-    lowest = in_lists.groupBy("cid").agg(F.slice(lowest, 1, LOWEST).alias("lowest"))
-    lowest = lowest.select("cid", *[F.get("lowest", F.lit(k)).alias(f"low{k}") for k in range(LOWEST)])
-    in_lists = in_lists.join(classes.select("cid", "point").join(lowest, "cid"), "cid")
-    point = F.struct("n", "cid", "comp", "point", *[f"low{k}" for k in range(LOWEST)]).alias("p")
-    leaves = freeze(packed(in_lists.select("shingle", "main", "listed", point)))
+    in_lists = in_lists.groupBy("cid").agg(
+        F.first("n").alias("n"),
+        F.first("comp").alias("comp"),
+        F.sort_array(F.collect_list(F.struct("shingle", "main", "listed"))).alias("lists"),
+    )
+    in_lists = in_lists.join(classes.select("cid", "point"), "cid")
+    lowest = [F.get(F.col("lists.shingle"), F.lit(k)).alias(f"low{k}") for k in range(LOWEST)]
+    point = F.struct("n", "cid", "comp", "point", *lowest).alias("p")
+    leaves = freeze(packed(in_lists.select(point, F.inline("lists")).select("shingle", "main", "listed", "p")))
 
     # a pair of two components has an end outside the main component of its list: those ends meet the whole list
     alone = leaves.where(F.col("listed") <= LEAF)

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,36 @@ def test_fine_counts_keep_the_bound():
             sides += [len(own), ja._counts(ja.np.frombuffer(ja._nibbles(counts), dtype=ja.np.uint8))]
         if 100 * len(one & two) >= 75 * len(one | two):
             assert ja._fine_link(*sides)
+
+
+def test_points_come_back_whole():
+    """Points of small counts take half a byte a count; larger ones keep their counts."""
+    small = ja.np.arange(ja.GROUPS) % 16
+    large = ja.np.arange(ja.GROUPS) * 3
+    packed = [ja._point(x) for x in (small, large, small[::-1])]
+    assert [len(x) for x in packed] == [ja.GROUPS // 2, ja.GROUPS, ja.GROUPS // 2]
+    points = ja._points(pa.array(packed, pa.binary()))
+    assert (points == ja.np.minimum([small, large, small[::-1]], 255)).all()
+
+
+def test_linked_sets_share_a_rare_shingle_of_the_smaller_one(spark):
+    """At the threshold as well: the smaller set's first seventh, and one, meets the other's prefix."""
+    rng = random.Random(6)
+    rows = []
+    while len(rows) < 400:
+        small = rng.randrange(1, 60)
+        large = rng.randrange(small, small * 4 // 3 + 1)
+        least = -(-3 * (small + large) // 7)
+        if least > small:
+            continue
+        whole = rng.sample(range(1000), small + large - least)
+        # the shared ones last, where their prefixes meet least
+        own, rest = sorted(whole)[: small + large - 2 * least], sorted(whole)[small + large - 2 * least :]
+        rng.shuffle(own)
+        one, two = sorted(own[: small - least] + rest), sorted(own[small - least :] + rest)
+        reach = set(two[: large - ja._need(large) + 1])
+        rows.append((len(rows), small, [x in reach for x in one]))
+    pairs = spark.createDataFrame(rows, "pair int, n long, met array<boolean>")
+    places = pairs.select("pair", "n", F.posexplode("met").alias("place", "met"))
+    met = places.where(ja._is_rare(F.col("place"), F.col("n"))).groupBy("pair").agg(F.max("met").alias("met"))
+    assert met.where("met").count() == len(rows)
