@@ -88,20 +88,29 @@ def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame, dt.date]:
     return first, second, day
 
 
+#: how a partitioned write names the folder of NULL
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_raw_months(trips: DataFrame, raw_dir: str) -> None:
     """One folder per pickup month, named as the month files are, from one pass; trips without a time are in the first."""
     spark = trips.sparkSession
     staged = scratch_path(spark, "months")
-    first = trips.agg(month_text(F.min(C.TRIP.pickup))).first()[0]
-    month = F.coalesce(month_text(F.col(C.TRIP.pickup)), F.lit(first))
+    month = month_text(F.col(C.TRIP.pickup))
     trips.withColumn("__month", month).hint("rebalance", F.col("__month")).write.partitionBy("__month").parquet(staged)
     file_system, root = parquet.file_system_of(spark, raw_dir)
     file_system.mkdirs(root)
-    for status in file_system.listStatus(parquet.file_system_of(spark, staged)[1]):
-        name = status.getPath().getName()
-        if name.startswith("__month="):
-            target = f"{raw_dir}/yellow_tripdata_{name.removeprefix('__month=')}.parquet"
-            file_system.rename(status.getPath(), parquet.file_system_of(spark, target)[1])
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [status.getPath() for status in file_system.listStatus(path_class(staged))]
+    months = {path.getName().removeprefix("__month="): path for path in folders if path.getName().startswith("__month=")}
+    if len(months) > 1 and NO_MONTH in months:
+        untimed = months.pop(NO_MONTH)
+        first = months[min(months, key=lambda name: (len(name), name))]
+        for status in file_system.listStatus(untimed):
+            # a task names its files alike in all folders
+            file_system.rename(status.getPath(), path_class(first, f"untimed-{status.getPath().getName()}"))
+    for name, path in months.items():
+        file_system.rename(path, path_class(f"{raw_dir}/yellow_tripdata_{name}.parquet"))
 
 
 def write_zone_csv(spark, sf_dir, path: str) -> None:

@@ -8,7 +8,8 @@ from curbline.operators.enrich import location_zone
 from curbline.operators.metrics import location_metrics
 from curbline.operators.rank import borough_top, top_k
 from curbline.plans import catalog
-from trips import raw_frame, trip
+from curbline.sources import files
+from trips import raw_frame, rows_of, trip
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -63,3 +64,21 @@ def test_dimension_is_broadcast_by_its_size(spark):
         assert "SortMergeJoin" in plan(location_zone(locations, zones))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_months_are_written_from_one_pass(spark, folder):
+    """Trips without a time are in the first month, also where a task writes them under the name it uses there."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [trip("2024-02-05 10:00:00"), trip("2024-01-31 10:00:00"), trip("2024-01-01 10:00:00"), trip(None), trip(None, total=3.0)]
+    trips = raw_frame(spark, rows)
+    catalog.write_raw_months(trips.coalesce(1).mapInArrow(counted, trips.schema), f"{folder}/raw")
+    assert seen.value == len(rows)
+    months = {r["year_month"]: r["month_path"] for r in files.discover_months(spark, f"{folder}/raw").collect()}
+    assert {month: spark.read.parquet(path).count() for month, path in months.items()} == {"2024-01": 4, "2024-02": 1}
+    assert rows_of(files.read_raw(spark, list(months.values()))) == rows_of(trips)
